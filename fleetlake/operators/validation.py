@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +32,11 @@ def _error(field: Column | str, code: str, message: Column | str) -> Column:
     )
 
 
+def _errors_of(*error) -> Column:
+    """An ``errors`` array of one error, or of none."""
+    return (F.array(_error(*error)) if error else F.array()).cast(ERROR_TYPE)
+
+
 _JSON_OPTIONS = {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false"}
 _NAMES = [n for n, _ in BRONZE_FIELDS]
 _TEXT_FIELDS = [n for n, t in BRONZE_FIELDS if t in (T.StringType(), T.TimestampType())]
@@ -71,64 +74,64 @@ def _normalise(name: str, value: Column) -> Column:
     return value
 
 
-def _constraint(name: str, value: Column) -> Column | None:
-    """The error a well-typed value causes, null when it is fine; null values pass."""
+def _constraint(name: str, value: Column) -> Column:
+    """The errors a well-typed value causes; null values pass."""
     if name == "vin":
         length = F.length(value)
-        return F.when(
-            length != VIN_LENGTH,
-            _error(
-                name,
-                "value_error",
-                F.concat(F.lit(f"VIN must be {VIN_LENGTH} characters, got "), length.cast("string")),
-            ),
-        ).when(
-            ~value.rlike(_ALPHANUMERIC),
-            _error(name, "value_error", "VIN must contain only alphanumeric characters"),
+        return (
+            F.when(
+                length != VIN_LENGTH,
+                _errors_of(
+                    name,
+                    "value_error",
+                    F.concat(
+                        F.lit(f"VIN must be {VIN_LENGTH} characters, got "), length.cast("string")
+                    ),
+                ),
+            )
+            .when(
+                ~value.rlike(_ALPHANUMERIC),
+                _errors_of(name, "value_error", "VIN must contain only alphanumeric characters"),
+            )
+            .otherwise(_errors_of())
         )
     if name in _NON_NEGATIVE:
         label = "Velocity" if name == "velocity" else "Value"
         return F.when(
             value < 0,
-            _error(
+            _errors_of(
                 name,
                 "value_error",
                 F.concat(F.lit(f"{label} must be non-negative, got "), value.cast("string")),
             ),
-        )
-    return None
+        ).otherwise(_errors_of())
+    return _errors_of()
 
 
-def _field_error(name: str, dtype: T.DataType, kind: Column, text: Column, value: Column) -> Column:
+def _field_errors(name: str, dtype: T.DataType, kind: Column, text: Column, value: Column) -> Column:
+    """At most one error per field: missing, unreadable, or against a rule."""
     _, type_name = _READERS[dtype]
-    nullable = name != "timestamp"
-    absent = kind.isNull()
-    error = F.when(F.lit(False), F.lit(None).cast(ERROR_TYPE.elementType))
-    if name in BRONZE_REQUIRED_KEYS:
-        error = error.when(absent, _error(name, "missing", "Field required"))
     # A missing optional key and an allowed null are both fine.
-    unreadable = value.isNull() & ~coerce.is_null(kind) if nullable else value.isNull()
-    wrong_type = _error(
-        name,
-        f"{type_name}_type",
-        f"Input should be a valid {type_name}",
-    )
-    if type_name == "string":
-        error = error.when(unreadable, wrong_type)
+    unreadable = value.isNull()
+    if name != "timestamp":
+        unreadable = unreadable & (kind != "VOID")
+    wrong_type = _errors_of(name, f"{type_name}_type", f"Input should be a valid {type_name}")
+    if name in BRONZE_REQUIRED_KEYS:
+        found = F.when(kind.isNull(), _errors_of(name, "missing", "Field required"))
+        found = found.when(unreadable, wrong_type) if type_name == "string" else found
+    elif type_name == "string":
+        return F.when(unreadable, wrong_type).otherwise(_errors_of())
     else:
-        parseable = (kind == "STRING") | (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith(
-            "DECIMAL"
+        found = F.when(F.lit(False), _errors_of())
+    if type_name != "string":
+        has_text = kind.isin("STRING", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
+        unparsed = _errors_of(
+            name,
+            f"{type_name}_parsing",
+            F.concat(F.lit(f"Input should be a valid {type_name}, got "), text),
         )
-        error = error.when(
-            unreadable & parseable,
-            _error(
-                name,
-                f"{type_name}_parsing",
-                F.concat(F.lit(f"Input should be a valid {type_name}, got "), text),
-            ),
-        ).when(unreadable, wrong_type)
-    constraint = _constraint(name, value)
-    return error if constraint is None else error.otherwise(constraint)
+        found = found.when(unreadable & has_text, unparsed).when(unreadable, wrong_type)
+    return found.otherwise(_constraint(name, value))
 
 
 def validate_messages(df: DataFrame, raw: str = "raw", keep: list[str] | None = None) -> DataFrame:
@@ -155,20 +158,30 @@ def validate_messages(df: DataFrame, raw: str = "raw", keep: list[str] | None =
         *[_typed_value(n, t).alias(n) for n, t in BRONZE_FIELDS],
     )
     checked = read.select("*", F.coalesce(_flawless(), F.lit(False)).alias("_flawless"))
-    mended = checked.select(
-        *keep,
-        "_flawless",
-        *_NAMES,
-        F.when(~F.col("_flawless"), _examine(F.col("_raw"), F.col("_keys"))).alias("_s"),
+    # Step by step, so that each step reads columns of the one before; all null for flawless rows.
+    flawed = ~F.col("_flawless")
+    reparsed = checked.withColumn("_q", F.when(flawed, _parse_variants(F.col("_raw"))))
+    described = reparsed.withColumn("_d", F.when(flawed, _describe(F.col("_q")))).drop("_q", "_raw")
+    coerced = described.withColumn(
+        "_v",
+        F.when(
+            flawed,
+            F.struct(
+                *[
+                    _normalise(n, _READERS[t][0](F.col(f"_d.k_{n}"), F.col(f"_d.t_{n}"))).alias(n)
+                    for n, t in BRONZE_FIELDS
+                ]
+            ),
+        ),
     )
-    return mended.select(
-        *keep,
-        *[
-            F.when(F.col("_flawless"), F.col(n)).otherwise(F.col(f"_s.{n}")).alias(n)
-            for n in _NAMES
-        ],
-        F.coalesce(F.col("_s.errors"), F.array().cast(ERROR_TYPE)).alias("errors"),
+    result = F.struct(
+        *[F.when(flawed, F.col(f"_v.{n}")).otherwise(F.col(n)).alias(n) for n in _NAMES],
+        F.when(flawed, _errors()).otherwise(_errors_of()).alias("errors"),
     )
+    # One row in, one row out. A later filter on ``errors`` is not pushed below a generator,
+    # where it would repeat the whole parse.
+    judged = coerced.select(*keep, result.alias("_row"))
+    return judged.select(*keep, F.explode(F.array("_row")).alias("_r")).select(*keep, "_r.*")
 
 
 def _as_declared() -> Column:
@@ -212,46 +225,26 @@ def _unknown(keys: Column) -> Column:
     return F.array_except(keys, F.array(*[F.lit(name) for name in _NAMES]))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and use it several times in ``body``."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _examine(raw: Column, keys: Column) -> Column:
-    """Struct of the 17 coerced values and ``errors`` of one message."""
-
-    def describe(q: Column) -> Column:
-        return F.struct(
-            (q.isNull() | q["_malformed"].isNotNull()).alias("bad"),
-            *[F.schema_of_variant(q[n]).alias(f"k_{n}") for n in _NAMES],
-            *[F.try_variant_get(q[n], "$", "string").alias(f"t_{n}") for n in _NAMES],
-        )
-
-    def read(d: Column) -> Column:
-        return F.struct(
-            d.alias("d"),
-            *[
-                _normalise(n, _READERS[t][0](d[f"k_{n}"], d[f"t_{n}"])).alias(n)
-                for n, t in BRONZE_FIELDS
-            ],
-        )
+def _describe(q: Column) -> Column:
+    return F.struct(
+        (q.isNull() | q["_malformed"].isNotNull()).alias("bad"),
+        *[F.schema_of_variant(q[n]).alias(f"k_{n}") for n in _NAMES],
+        *[F.try_variant_get(q[n], "$", "string").alias(f"t_{n}") for n in _NAMES],
+    )
 
-    def judge(v: Column) -> Column:
-        d = v["d"]
-        field_errors = F.array_compact(
-            F.array(
-                *[_field_error(n, t, d[f"k_{n}"], d[f"t_{n}"], v[n]) for n, t in BRONZE_FIELDS]
-            )
-        )
-        extra_errors = F.transform(
-            _unknown(keys),
-            lambda k: _error(k, "extra_forbidden", "Extra inputs are not permitted"),
-        )
-        not_json = F.array(_error("", "json_invalid", "Message is not a JSON object"))
-        errors = F.when(d["bad"], not_json).otherwise(F.concat(field_errors, extra_errors))
-        return F.struct(*[v[n].alias(n) for n in _NAMES], errors.cast(ERROR_TYPE).alias("errors"))
 
-    return _let(_let(_let(_parse_variants(raw), describe), read), judge)
+def _errors() -> Column:
+    unknown = _unknown(F.col("_keys"))
+    extra = F.transform(
+        unknown, lambda k: _error(k, "extra_forbidden", "Extra inputs are not permitted")
+    ).cast(ERROR_TYPE)
+    fields = [
+        _field_errors(n, t, F.col(f"_d.k_{n}"), F.col(f"_d.t_{n}"), F.col(f"_v.{n}"))
+        for n, t in BRONZE_FIELDS
+    ]
+    return F.when(
+        F.col("_d.bad"), _errors_of("", "json_invalid", "Message is not a JSON object")
+    ).otherwise(F.concat(*fields, F.when(F.size(unknown) > 0, extra).otherwise(_errors_of())))
 
 
 def error_counts(validated: DataFrame) -> DataFrame:

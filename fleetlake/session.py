@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings that change results; all of them can be set on a running session.
+# Settings the library sets on any session it runs in; all but the last change results.
 RUNTIME_SETTINGS = {
     # Day, hour and partition values are always taken in UTC.
     "spark.sql.session.timeZone": "UTC",
     # A JSON object with a repeated key keeps the last value, as JSON readers usually do.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Not a matter of results: the JVM compiles no method above 8000 bytes, so a stage whose
+    # fused code grows beyond that is faster as separate, smaller projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Defaults for a session we build ourselves; a cluster's own settings win.
