@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.functions.patterns import matches, pattern_error
 from fleetlake.schemas import VIOLATION_SCHEMA
@@ -124,7 +125,8 @@ def find_violations(
     """
     plan = plan_scan(table, columns, patterns)
     if not plan.columns or not plan.patterns:
-        return table.sparkSession.createDataFrame([], VIOLATION_SCHEMA.add("file_row_index", "bigint"))
+        with_row = T.StructType([*VIOLATION_SCHEMA.fields, T.StructField("file_row_index", T.LongType())])
+        return table.sparkSession.createDataFrame([], with_row)
     located = with_lineage(table)
     found = _matching_rows(located, plan, [message_json(table).alias("message_json")])
     if not ordinals:
