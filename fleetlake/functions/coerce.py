@@ -115,9 +115,9 @@ def _from_iso(text: Column) -> Column:
     # One spelling for separators, fraction mark, zone letter and minus sign.
     usual = F.translate(text, "t_,z−", "TT.Z-")
     # Offsets beyond 18 hours are outside what a timestamp cast accepts; apply those by hand.
-    minutes = F.regexp_extract(usual, _OFFSET, 2).try_cast("int") * 60 + F.regexp_extract(
+    minutes = F.regexp_extract(usual, _OFFSET, 2).try_cast("bigint") * 60 + F.regexp_extract(
         usual, _OFFSET, 3
-    ).try_cast("int")
+    ).try_cast("bigint")
     signed = F.when(F.regexp_extract(usual, _OFFSET, 1) == "-", -minutes).otherwise(minutes)
     local = F.regexp_replace(usual, _OFFSET, "").try_cast("timestamp")
     by_hand = F.timestamp_micros(F.unix_micros(local) - signed * 60_000_000)
