@@ -113,7 +113,12 @@ def _is_common_iso(text: Column) -> Column:
 
 def _from_iso(text: Column) -> Column:
     # One spelling for separators, fraction mark, zone letter and minus sign.
-    usual = F.translate(text, "t_,z−", "TT.Z-")
+    marks = F.translate(text, "t_,z−", "TT.Z-")
+    # Seconds may be left out, which a cast accepts only without a zone.
+    usual = F.when(
+        (F.length(marks) > 16) & (F.substring(marks, 17, 1) != ":"),
+        F.concat(F.substring(marks, 1, 16), F.lit(":00"), F.substring(marks, 17, 6)),
+    ).otherwise(marks)
     # Offsets beyond 18 hours are outside what a timestamp cast accepts; apply those by hand.
     minutes = F.regexp_extract(usual, _OFFSET, 2).try_cast("bigint") * 60 + F.regexp_extract(
         usual, _OFFSET, 3

@@ -18,7 +18,7 @@ def json_length(df: DataFrame) -> Column:
     """Length of one row as JSON text with blanks after separators, nulls included."""
     n = len(df.columns)
     compact = F.to_json(
-        F.struct("*"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]),
         {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ssXXX"},
     )
     return F.length(compact) + F.lit(n + (n - 1))
