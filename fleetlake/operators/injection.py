@@ -50,23 +50,13 @@ def with_lineage(table: DataFrame) -> DataFrame:
     )
 
 
-def _hits(plan: ScanPlan) -> Column:
-    """Array of the (column, pattern, value) a row matches; nulls never match."""
-    candidates = []
-    for name in plan.columns:
-        text = F.col(f"`{name}`").cast("string")
-        for pattern in plan.patterns:
-            candidates.append(
-                F.when(
-                    matches(text, pattern),
-                    F.struct(
-                        F.lit(name).alias("column_name"),
-                        text.alias("column_value"),
-                        F.lit(pattern).alias("matched_pattern"),
-                    ),
-                )
-            )
-    return F.array_compact(F.array(*candidates))
+def _pairs(plan: ScanPlan) -> list[tuple[str, str]]:
+    return [(c, p) for c in plan.columns for p in plan.patterns]
+
+
+def _match(column: str, pattern: str) -> Column:
+    """Any column type is scanned as text; a null never matches."""
+    return F.coalesce(matches(F.col(f"`{column}`").cast("string"), pattern), F.lit(False))
 
 
 def _iso_text(time: Column, zone: str) -> Column:
@@ -95,20 +85,32 @@ def message_json(table: DataFrame) -> Column:
 
 
 def _matching_rows(table: DataFrame, plan: ScanPlan, payload: list[Column]) -> DataFrame:
+    """One row per match: file, row, block, column name, value, pattern and the ``payload``.
+
+    Every pattern is tried once per row, in a projection; the generator then hands out one
+    row per (column, pattern), of which a filter keeps the matches. That filter cannot move
+    below the generator, where it would repeat the matching.
+    """
+    pairs = _pairs(plan)
+    flagged = table.select("*", *[_match(c, p).alias(f"__m{i}") for i, (c, p) in enumerate(pairs)])
+    cells = [
+        cell
+        for i, (c, p) in enumerate(pairs)
+        for cell in (F.lit(c), F.col(f"`{c}`").cast("string"), F.lit(p), F.col(f"__m{i}"))
+    ]
+    names = ["__column", "__value", "__pattern", "__matched"]
     return (
-        table.withColumn("__hits", _hits(plan))
-        .filter(F.size("__hits") > 0)
+        flagged.select("*", F.stack(F.lit(len(pairs)), *cells).alias(*names))
+        .filter("__matched")
         .select(
             F.col(_FILE).alias("file_path"),
             F.col(_ROW).alias("file_row_index"),
             F.floor(F.col(_ROW) / ROWS_PER_BLOCK).alias("block"),
-            "__hits",
+            F.col("__column").alias("column_name"),
+            F.col("__value").alias("column_value"),
+            F.col("__pattern").alias("matched_pattern"),
             *payload,
         )
-        .select("*", F.explode("__hits").alias("__hit"))
-        .drop("__hits")
-        .select("*", "__hit.*")
-        .drop("__hit")
     )
 
 
@@ -160,12 +162,11 @@ def find_violations(
 def summarise_scan(table: DataFrame, columns: list[str], patterns: list[str]) -> DataFrame:
     """Files, rows and violations of a scan in one aggregation, without listing the matches."""
     plan = plan_scan(table, columns, patterns)
-    if plan.columns and plan.patterns:
-        violations = F.sum(F.size(_hits(plan)).cast("bigint"))
-    else:
-        violations = F.lit(0)
+    violations = F.lit(0)
+    for column, pattern in _pairs(plan):
+        violations = violations + F.count_if(_match(column, pattern))
     return table.agg(
         F.lit(len(table.inputFiles())).cast("bigint").alias("total_files_scanned"),
         F.count(F.lit(1)).alias("total_rows_scanned"),
-        F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations_found"),
+        violations.cast("bigint").alias("violations_found"),
     )

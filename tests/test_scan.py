@@ -83,6 +83,14 @@ def test_any_type_can_be_scanned(spark, folder):
     assert sorted(int(r["column_value"]) for r in found.collect()) == list(range(10, 20))
 
 
+def test_table_may_use_our_column_names(spark, folder):
+    names = "file_path string, block string, column_name string, row_index string"
+    save(spark, [("f;", "b", "c", "r")], folder, names)
+    row = injection.find_violations(spark.read.parquet(folder), ["file_path"], [";"]).first()
+    assert row["column_value"] == "f;" and row["file_path"].startswith("file:")
+    assert json.loads(row["message_json"]) == {"file_path": "f;", "block": "b", "column_name": "c", "row_index": "r"}
+
+
 def test_ordinals_over_blocks(spark, folder, monkeypatch):
     monkeypatch.setattr(injection, "ROWS_PER_BLOCK", 7)
     rows = [("a;" if i % 3 == 0 else "b",) for i in range(100)]
