@@ -51,7 +51,7 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
 
     ``fallback`` is used, and made the checkpoint folder, only where the cluster names none.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if fallback is None:
