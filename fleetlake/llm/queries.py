@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import language, packing, token_counts
+from fleetlake.llm import language, mixing, packing, quality, sql, token_counts
 from fleetlake.llm.common import crc_remainder, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,44 @@ BPE = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+# The mix: domains are dealt from the source name; * stands for any name at its level.
+MIX_LEVELS_SQL = {
+    "domain": "'domain' || CAST(CAST('0x' || substr(md5(coalesce(source, '')), 1, 4) AS BIGINT) % 3 AS VARCHAR)",
+    "lang": "lang",
+    "source": "source",
+}
+MIX_WEIGHTS = {
+    ("domain0",): 5,
+    ("domain1",): 3,
+    ("domain2",): 2,
+    ("*", "en"): 8,
+    ("*", "de"): 4,
+    ("*", "fr"): 4,
+    ("*", "es"): 4,
+    ("*", "*", "src0"): 3,
+}
+MIX_BUDGET_SHARE = 0.6
+MIX_EPOCHS = 2
+MIX_SEED = 11
+
+
+def mix_levels() -> dict[str, Column]:
+    name = F.coalesce(F.col("source"), F.lit("")).cast("binary")
+    number = F.conv(F.substring(F.md5(name), 1, 4), 16, 10).cast("bigint") % 3
+    return {"domain": F.concat(F.lit("domain"), number), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op1_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(
+        documents(spark, sf_dir), mix_levels(), MIX_WEIGHTS, MIX_BUDGET_SHARE, MIX_EPOCHS, MIX_SEED
+    )
+
+
+def op2_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.judge(documents(spark, sf_dir), labels)
+
+
 def op6_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
         documents(spark, sf_dir),
@@ -40,12 +78,18 @@ def op10_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_hierarchical_mixing": op1_hierarchical_mixing,
+    "op2_learned_decision_list": op2_learned_decision_list,
     "op6_multi_length_packing": op6_multi_length_packing,
     "op9_compression_language_id": op9_compression_language_id,
     "op10_trie_token_counts": op10_trie_token_counts,
 }
 
-_SQL: dict[str, str] = {}
+_SQL: dict[str, str] = {
+    "op1_hierarchical_mixing": sql.mixing(
+        MIX_LEVELS_SQL, MIX_WEIGHTS, MIX_BUDGET_SHARE, MIX_EPOCHS, MIX_SEED
+    ),
+}
 
 
 def queries() -> dict[str, Query]:
