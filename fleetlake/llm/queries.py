@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import language, mixing, packing, quality, sql, token_counts
+from fleetlake.llm import exact_dedup, language, mixing, packing, quality, sql, token_counts
 from fleetlake.llm.common import crc_remainder, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op2_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), labels)
 
 
+def op4_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir)).drop("n_chunks")
+
+
 def op6_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
         documents(spark, sf_dir),
@@ -80,12 +84,14 @@ def op10_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op1_hierarchical_mixing": op1_hierarchical_mixing,
     "op2_learned_decision_list": op2_learned_decision_list,
+    "op4_chunk_recipe_dedup": op4_chunk_recipe_dedup,
     "op6_multi_length_packing": op6_multi_length_packing,
     "op9_compression_language_id": op9_compression_language_id,
     "op10_trie_token_counts": op10_trie_token_counts,
 }
 
 _SQL: dict[str, str] = {
+    "op4_chunk_recipe_dedup": sql.EXACT_DUPLICATES,
     "op1_hierarchical_mixing": sql.mixing(
         MIX_LEVELS_SQL, MIX_WEIGHTS, MIX_BUDGET_SHARE, MIX_EPOCHS, MIX_SEED
     ),

@@ -62,3 +62,12 @@ def mixing(
         " CAST(budget AS BIGINT) AS leaf_target,"
         " CAST(epochs + CASE WHEN left_over > 0 AND so_far <= left_over THEN 1 ELSE 0 END AS BIGINT) AS copies FROM run"
     )
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+EXACT_DUPLICATES = f"""
+WITH t AS (SELECT doc_id, {_LOWERED} AS norm FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, CAST(count(*) OVER w AS BIGINT) AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY norm)
+"""
