@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -52,10 +53,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(work, schema)
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    Spark's cleaner deletes them once the driver has collected the plans they belong to, which by
+    itself happens every half hour; with large shuffles that keeps each step's files on disk.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def blocks(

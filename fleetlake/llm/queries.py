@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import exact_dedup, language, mixing, packing, quality, sql, token_counts
+from fleetlake.llm import (
+    exact_dedup,
+    language,
+    mixing,
+    packing,
+    quality,
+    sql,
+    substring_dedup,
+    token_counts,
+)
 from fleetlake.llm.common import crc_remainder, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +77,10 @@ def op6_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("spans")
+
+
 def op9_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_remainder(F.col("doc_id"), 4) == 2
@@ -86,11 +99,13 @@ _QUERIES: dict[str, Query] = {
     "op2_learned_decision_list": op2_learned_decision_list,
     "op4_chunk_recipe_dedup": op4_chunk_recipe_dedup,
     "op6_multi_length_packing": op6_multi_length_packing,
+    "op7_seed_and_extend": op7_seed_and_extend,
     "op9_compression_language_id": op9_compression_language_id,
     "op10_trie_token_counts": op10_trie_token_counts,
 }
 
 _SQL: dict[str, str] = {
+    "op7_seed_and_extend": sql.REPEATS,
     "op4_chunk_recipe_dedup": sql.EXACT_DUPLICATES,
     "op1_hierarchical_mixing": sql.mixing(
         MIX_LEVELS_SQL, MIX_WEIGHTS, MIX_BUDGET_SHARE, MIX_EPOCHS, MIX_SEED

@@ -52,6 +52,7 @@ _LOWER[65:91] += 32
 _LOWER_BYTES = _BYTES[_LOWER]
 _BY_BYTE = _Polynomial(_BASE)
 _BY_WORD = _Polynomial(0xD1342543DE82EF95)
+_BY_WORD_CHECK = _Polynomial(0xA0761D6478BD642F)
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +100,16 @@ class Words:
             out[at : at + _SEGMENT] = _BY_WORD.spans(self.hashes[low : part[-1] + k], part - low, part - low + k)
         return starts, out
 
+    def check(self, starts: np.ndarray, k: int) -> np.ndarray:
+        """A second hash, of 32 bits, of the runs of ``k`` words at ascending ``starts``."""
+        out = np.empty(len(starts), np.uint32)
+        for at in range(0, len(starts), _SEGMENT):
+            part = starts[at : at + _SEGMENT]
+            low = part[0]
+            spans = _BY_WORD_CHECK.spans(self.hashes[low : part[-1] + k], part - low, part - low + k)
+            out[at : at + _SEGMENT] = spans >> np.uint64(32)
+        return out
+
     def words_of(self, i: int) -> np.ndarray:
         return self.hashes[self.bounds[i] : self.bounds[i + 1]]
 
