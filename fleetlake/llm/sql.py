@@ -78,9 +78,9 @@ win AS (SELECT doc_id, i, list_slice(w, i, i + 12) AS k
         FROM t, LATERAL (SELECT unnest(range(1, len(w) - 11)) AS i)),
 hit AS (SELECT doc_id, i FROM win JOIN (SELECT k, min(doc_id) AS first FROM win GROUP BY k) USING (k)
         WHERE doc_id > first),
-gone AS (SELECT doc_id, list(DISTINCT i + j) AS at FROM hit, range(13) r(j) GROUP BY doc_id),
-kept AS (SELECT doc_id, w, coalesce(len(at), 0) AS n_removed,
-                list_filter(w, lambda x, p: NOT list_contains(coalesce(at, []), p)) AS k
+gone AS (SELECT doc_id, list(DISTINCT i + j) AS places FROM hit, range(13) r(j) GROUP BY doc_id),
+kept AS (SELECT doc_id, w, coalesce(len(places), 0) AS n_removed,
+                list_filter(w, lambda x, p: NOT list_contains(coalesce(places, []), p)) AS k
          FROM t LEFT JOIN gone USING (doc_id))
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
        sha256(array_to_string(k, ' ')) AS kept_sha256
