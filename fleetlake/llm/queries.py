@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm import (
     exact_dedup,
+    hmm,
     language,
     mixing,
     packing,
@@ -64,6 +65,10 @@ def op2_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), labels)
 
 
+def op3_hidden_markov_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(documents(spark, sf_dir), crc_remainder(F.col("doc_id"), 10) == 0)
+
+
 def op4_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir)).drop("n_chunks")
 
@@ -97,6 +102,7 @@ def op10_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op1_hierarchical_mixing": op1_hierarchical_mixing,
     "op2_learned_decision_list": op2_learned_decision_list,
+    "op3_hidden_markov_model": op3_hidden_markov_model,
     "op4_chunk_recipe_dedup": op4_chunk_recipe_dedup,
     "op6_multi_length_packing": op6_multi_length_packing,
     "op7_seed_and_extend": op7_seed_and_extend,
