@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.llm import (
+    bagminhash,
     exact_dedup,
     hmm,
     language,
@@ -73,6 +74,10 @@ def op4_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir)).drop("n_chunks")
 
 
+def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_classes(documents(spark, sf_dir)).drop("key")
+
+
 def op6_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
         documents(spark, sf_dir),
@@ -104,6 +109,7 @@ _QUERIES: dict[str, Query] = {
     "op2_learned_decision_list": op2_learned_decision_list,
     "op3_hidden_markov_model": op3_hidden_markov_model,
     "op4_chunk_recipe_dedup": op4_chunk_recipe_dedup,
+    "op5_bagminhash": op5_bagminhash,
     "op6_multi_length_packing": op6_multi_length_packing,
     "op7_seed_and_extend": op7_seed_and_extend,
     "op9_compression_language_id": op9_compression_language_id,
