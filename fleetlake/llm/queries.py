@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm import (
     bagminhash,
     exact_dedup,
+    fuzzy_lines,
     hmm,
     language,
     mixing,
@@ -91,6 +92,15 @@ def op7_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("spans")
 
 
+def op8_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.remove_lines(documents(spark, sf_dir)).select(
+        "doc_id",
+        F.col("__n_lines").alias("n_lines"),
+        F.col("__n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op9_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_remainder(F.col("doc_id"), 4) == 2
@@ -112,6 +122,7 @@ _QUERIES: dict[str, Query] = {
     "op5_bagminhash": op5_bagminhash,
     "op6_multi_length_packing": op6_multi_length_packing,
     "op7_seed_and_extend": op7_seed_and_extend,
+    "op8_simhash_lines": op8_simhash_lines,
     "op9_compression_language_id": op9_compression_language_id,
     "op10_trie_token_counts": op10_trie_token_counts,
 }
