@@ -37,13 +37,14 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 def cut_points(texts: list[bytes], least: int, mean_bits: int, most: int) -> list[list[int]]:
     """End of every chunk of every text."""
     gap = b"\0" * _WINDOW
-    data = np.frombuffer(gap.join(texts), np.uint8)
+    # Every text follows a gap, so its first marks do not depend on what stands before it.
+    data = np.frombuffer(gap + gap.join(texts), np.uint8)
     rolling, width = _GEAR[data], 1
     while width < _WINDOW:
         rolling[width:] += rolling[:-width] << np.uint32(width)
         width *= 2
     marks = np.flatnonzero(rolling >> np.uint32(32 - mean_bits) == 0) + 1
-    out, begin = [], 0
+    out, begin = [], _WINDOW
     for text in texts:
         size = len(text)
         own = marks[np.searchsorted(marks, begin + least) : np.searchsorted(marks, begin + size)] - begin
