@@ -44,6 +44,7 @@ LONGEST = 64  # bytes of a token of the dictionary; longer ones are joined
 SEGMENT = 512
 SIDE_BY_SIDE = 256
 SMOOTHING = 0.1
+PRIOR_TOKENS = 2000
 _FLUSH = 400_000
 
 
@@ -379,9 +380,9 @@ def train(
                 start = value
             else:
                 seen.append(float(value[0]))
-        # A little of each class's overall frequency keeps every state able to emit it.
+        # As if every state had also emitted PRIOR_TOKENS in the overall proportions.
         overall = emit.sum(axis=1) + SMOOTHING
-        emit = emit + 0.5 * states * overall[:, None] / overall.sum() + 1e-6
+        emit = emit + PRIOR_TOKENS * overall[:, None] / overall.sum()
         model = Model(
             (start + SMOOTHING) / (start + SMOOTHING).sum(),
             (move + SMOOTHING) / (move + SMOOTHING).sum(axis=1, keepdims=True),
