@@ -15,7 +15,7 @@ classes of near texts are found by linking.py, every link verified on the bags o
 With 32 bands of 4, two texts at a similarity of 0.8 share no bucket with probability 5e-8.
 
 Results: a text of one to four words is one shingle of all its words. Null texts and texts
-without words are near nothing, each its own class. Of a class the least ``doc_id`` stays (null
+without words are equal to each other and near nothing else. Of a class the least ``doc_id`` stays (null
 counts as least); rows that repeat this ``doc_id`` with the same words stay too. Extra columns do
 not matter. A group of copies is one item before any join on it, and near copies are compared
 with hubs, not with each other.
@@ -206,10 +206,9 @@ def near_classes(
     of its class), ``class_size`` in documents, ``kept``."""
     docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     all_ = stored(signed(docs, bands, rows, k), "signatures").withColumn("doc", F.coalesce("doc_id", F.lit(_NULL_ID)))
-    worded = all_.where(F.size("bands") > 0)
-    items = stored(worded.groupBy("key").agg(F.min(F.struct("doc", "row", "pick")).alias("m"))
+    items = stored(all_.groupBy("key").agg(F.min(F.struct("doc", "row", "pick")).alias("m"))
                    .select("key", "m.doc", F.col("m.row").alias("id"), "m.pick"), "items")
-    chosen = worded.select(F.col("row").alias("id"), "bands").join(items.select("id"), "id")
+    chosen = all_.select(F.col("row").alias("id"), "bands").join(items.select("id"), "id")
     members = shared_buckets(chosen.select("id", F.explode("bands").alias("bucket")))
     wanted = stored(items.join(members.select("id").distinct(), "id").select("id", "key", "doc", "pick"), "candidates")
     texts = stored(_texts_of(docs, wanted), "candidate-texts")
@@ -220,18 +219,14 @@ def near_classes(
         labelled.join(labelled.groupBy("label").agg(F.min("doc").alias("least")), "label").select("key", "label", "least"),
         "item-classes",
     )
-    named = all_.join(class_of, "key", "left").select(
-        "doc_id", "doc", "key", F.coalesce("label", -1 - F.col("row")).alias("label"),
-        F.coalesce("least", "doc").alias("least"),
-    )
-    named = stored(named, "named")
-    sizes = named.where("label >= 0").groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    named = stored(all_.join(class_of, "key").select("doc_id", "doc", "key", "label", "least"), "named")
+    sizes = named.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     id_of = F.when(F.col("least") != _NULL_ID, F.col("least"))
-    return named.join(sizes, "label", "left").select(
+    return named.join(sizes, "label").select(
         "doc_id",
         "key",
         id_of.alias("class_id"),
-        F.coalesce("size", F.lit(1)).cast("bigint").alias("class_size"),
+        F.col("size").cast("bigint").alias("class_size"),
         (F.col("doc") == F.col("least")).alias("kept"),
     )
 
