@@ -1,8 +1,8 @@
 """Regex predicates with RE2 meaning: partial match, case-sensitive, ASCII word boundaries.
 
-The shipped patterns have JVM forms that need linear time and no recursion. Any other
-pattern is matched by RE2 itself, in Arrow batches, so that a caller's pattern can
-neither overflow a task's stack nor change its meaning.
+The shipped patterns have JVM forms that need linear time and no recursion. Of other patterns
+the plain ones are rewritten for the JVM (re2.py); any other is matched by RE2 itself, in Arrow
+batches, so that a caller's pattern can neither overflow a task's stack nor change its meaning.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlake.functions.re2 import to_jvm
+
 # The shipped detection patterns.
 DEFAULT_PATTERN = (
     r"('(''|[^'])*')|(;)|(\b(ALTER|CREATE|DELETE|DROP|EXEC(UTE){0,1}|INSERT( +INTO){0,1}"
@@ -39,7 +41,7 @@ PATTERN_LIBRARY = {
 
 _WORD = "0-9A-Za-z_"
 _STARTS_WORD, _ENDS_WORD = f"(?<![{_WORD}])", f"(?![{_WORD}])"
-# The optional tails of the keyword patterns never decide a yes/no answer, but for EXECUTE.
+# The words of the keyword patterns. The optional tails of the keyword patterns never decide a yes/no answer, but for EXECUTE.
 _KEYWORDS = [
     "ALTER", "CREATE", "DELETE", "DROP", "EXEC", "INSERT", "MERGE", "SELECT", "UPDATE", "UNION",
 ]
@@ -121,6 +123,9 @@ def matches(c: Column, pattern: str) -> Column:
     if not re.search(r"[\\.^$|?*+()\[\]{}]", pattern):
         return F.contains(c, F.lit(pattern))
 
+    if (jvm := to_jvm(pattern)) is not None:
+        return c.rlike(jvm)
+
     def re2_match(values):
         return pc.match_substring_regex(values, pattern)
 

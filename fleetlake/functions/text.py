@@ -32,3 +32,18 @@ def strip_upper(c: Column) -> Column:
 def pad2(c: Column) -> Column:
     """Left-pad with zeros to two characters; longer text is kept (``lpad`` alone would cut it)."""
     return F.when(F.length(c) < 2, F.lpad(c, 2, "0")).otherwise(c)
+
+
+def is_one_value(text: Column) -> Column:
+    """Whether the text holds one JSON value and nothing after it.
+
+    JSON readers stop at the end of the first value. As the only item of a list, text after it
+    breaks the list or adds an item, unless it begins with the list's end; then the text is
+    also tried as the value of an object, where that is a fault.
+    """
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    items = F.coalesce(F.json_array_length(listed), F.size(F.from_json(listed, "array<string>")))
+    keyed = F.concat(F.lit('{"a":'), text, F.lit(',"b":1}'))
+    keys = F.coalesce(F.size(F.json_object_keys(keyed)), F.size(F.from_json(keyed, "map<string,string>")))
+    ends_list = text.rlike(r"[}\]]\s*\]")
+    return F.coalesce((items == 1) & (~ends_list | (keys == 2)), F.lit(False))

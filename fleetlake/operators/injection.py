@@ -28,11 +28,15 @@ class ScanPlan:
     warnings: list[str]
 
 
-def plan_scan(table: DataFrame, columns: list[str], patterns: list[str]) -> ScanPlan:
+def check_arguments(columns: list[str], patterns: list[str]) -> None:
     if not columns:
         raise ValueError("columns_to_check cannot be empty")
     if not patterns:
         raise ValueError("injection_patterns cannot be empty")
+
+
+def plan_scan(table: DataFrame, columns: list[str], patterns: list[str]) -> ScanPlan:
+    """Columns and patterns that can be used; a warning tells of each of the others."""
     notes = [f"column '{c}' is not in the data" for c in columns if c not in table.columns]
     faults = {p: pattern_error(p) for p in patterns}
     notes += [f"pattern {p!r} skipped: {fault}" for p, fault in faults.items() if fault]
@@ -69,14 +73,18 @@ def _iso_text(time: Column, zone: str) -> Column:
 
 
 def message_json(table: DataFrame) -> Column:
-    """The whole row as JSON text values; nulls are kept, partition hours keep their zero."""
+    """The whole row as JSON text values; nulls are kept, partition hours keep their zero.
+
+    For rows with their lineage columns.
+    """
     fields = []
     for field in table.schema.fields:
         if field.name in (_FILE, _ROW):
             continue
         text = F.col(f"`{field.name}`").cast("string")
         if field.name == "hour":
-            text = F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text)
+            of_folder = F.col(_FILE).contains("/hour=")
+            text = F.when(of_folder & (F.length(text) < 2), F.lpad(text, 2, "0")).otherwise(text)
         elif field.dataType.typeName() in ("timestamp", "timestamp_ntz"):
             zone = "+00:00" if field.dataType.typeName() == "timestamp" else ""
             text = _iso_text(F.col(f"`{field.name}`"), zone)

@@ -69,6 +69,18 @@ def check_silver(df: DataFrame) -> DataFrame:
     missing = [c for c in SILVER_REQUIRED_COLUMNS if c not in body]
     if unknown or missing:
         raise ValueError(f"Silver columns not allowed: {unknown}; missing: {missing}")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # A timestamp without a zone is read as UTC, and a narrower number fits.
+    fitting = {("timestamp_ntz", "timestamp"), ("int", "bigint"), ("smallint", "bigint"), ("float", "double")}
+    wrong = [
+        f"{c} is {types[c].simpleString()}, not {allowed[c].simpleString()}"
+        for c in body
+        if types[c] != allowed[c]
+        and (types[c].simpleString(), allowed[c].simpleString()) not in fitting
+        and types[c].simpleString() != "void"
+    ]
+    if wrong:
+        raise ValueError(f"Silver columns of another type: {'; '.join(wrong)}")
 
     present = set(body)
     blank = strip(F.col("vin")) == ""

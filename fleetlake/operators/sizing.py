@@ -5,23 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Assumed Parquet size relative to JSON text, and bytes in a megabyte.
 PARQUET_TO_JSON = 0.3
 MEGABYTE = 1024 * 1024
+# Rows of a file that share a join key.
+ROWS_PER_BLOCK = 250_000
 
 # Column separator and key separator of common JSON text (", " and ": ") add one blank each.
 _LIST_ITEM_SEPARATOR = 2
 
 
 def json_length(df: DataFrame) -> Column:
-    """Length of one row as JSON text with blanks after separators, nulls included."""
+    """Length of one row as JSON text with blanks after separators, nulls included.
+
+    Times are text as ``2025-01-27 10:30:00.000001+00:00``, with a fraction only where there is
+    one. Characters beyond ASCII are escaped: six characters each, twelve beyond the basic plane.
+    """
     n = len(df.columns)
-    compact = F.to_json(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]),
-        {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ssXXX"},
-    )
-    return F.length(compact) + F.lit(n + (n - 1))
+    cells = []
+    for field in df.schema.fields:
+        cell = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            zone = "+00:00" if isinstance(field.dataType, T.TimestampType) else ""
+            fraction = F.date_format(cell, ".SSSSSS")
+            cell = F.concat(
+                F.date_format(cell, "yyyy-MM-dd HH:mm:ss"),
+                F.when(fraction == ".000000", "").otherwise(fraction),
+                F.lit(zone),
+            )
+        cells.append(cell.alias(field.name))
+    compact = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
+    beyond_ascii = F.regexp_replace(compact, r"[\x00-\x7F]+", "")
+    beyond_plane = F.regexp_replace(beyond_ascii, r"[\u0080-\uFFFF]+", "")
+    return F.length(compact) + 5 * F.length(beyond_ascii) + 6 * F.length(beyond_plane) + F.lit(n + (n - 1))
 
 
 def estimate_parquet_size_mb(df: DataFrame, row_length: Column | None = None) -> DataFrame:
@@ -41,7 +59,9 @@ def split_by_size(
 
     ``table`` must be read straight from Parquet. A row's position is its number within its
     file plus the rows of the files before it, so nothing is sorted globally: the only data
-    brought together is one row per file.
+    brought together is one row per file. Rows find their file's offset by file and block of
+    rows; Spark broadcasts the offsets where they are small, and otherwise a huge file is
+    spread over as many keys as it has blocks.
     """
     if max_size_mb <= 0:
         raise ValueError("max_size_mb must be positive")
@@ -56,10 +76,13 @@ def split_by_size(
     chunks = F.when(total_mb <= max_size_mb, 1).otherwise(F.floor(total_mb / max_size_mb) + 1)
     offsets = per_file.select(
         "__file",
+        "__n",
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
         F.greatest(F.lit(1), F.floor(F.sum("__n").over(everything) / chunks)).alias("__size"),
         chunks.alias("__chunks"),
     )
+    last_block = F.floor((F.col("__n") - 1) / ROWS_PER_BLOCK)
+    offsets = offsets.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
     position = F.col("__offset") + F.col("__row")
     chunk = F.when(F.col("__chunks") == 1, F.lit(0)).otherwise(F.floor(position / F.col("__size")))
     return (
@@ -67,7 +90,8 @@ def split_by_size(
             "*",
             F.col("_metadata.file_path").alias("__file"),
             F.col("_metadata.row_index").alias("__row"),
+            F.floor(F.col("_metadata.row_index") / ROWS_PER_BLOCK).alias("__block"),
         )
-        .join(offsets, "__file")
+        .join(offsets, ["__file", "__block"])
         .select(*table.columns, chunk.cast("bigint").alias("chunk_id"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions import coerce
-from fleetlake.functions.text import strip, strip_upper
+from fleetlake.functions.text import is_one_value, strip, strip_upper
 from fleetlake.schemas import BRONZE_FIELDS, BRONZE_REQUIRED_KEYS, ERROR_TYPE
 
 VIN_LENGTH = 17
@@ -148,12 +148,14 @@ def validate_messages(df: DataFrame, raw: str = "raw", keep: list[str] | None =
         *keep,
         F.col(raw).alias("_raw"),
         _keys(F.col(raw)).alias("_keys"),
+        is_one_value(F.col(raw)).alias("_whole"),
         _parse_typed(F.col(raw)).alias("_p"),
     )
     read = parsed.select(
         *keep,
         "_raw",
         "_keys",
+        "_whole",
         _as_declared().alias("_plain"),
         *[_typed_value(n, t).alias(n) for n, t in BRONZE_FIELDS],
     )
@@ -212,6 +214,7 @@ def _flawless() -> Column:
     vin = F.col("vin")
     fine = (
         F.col("_plain")
+        & F.col("_whole")
         & F.col("timestamp").isNotNull()
         & (vin.isNull() | ((F.length(vin) == VIN_LENGTH) & vin.rlike(_ALPHANUMERIC)))
         & (F.size(_unknown(F.col("_keys"))) == 0)
@@ -243,7 +246,7 @@ def _errors() -> Column:
         for n, t in BRONZE_FIELDS
     ]
     return F.when(
-        F.col("_d.bad"), _errors_of("", "json_invalid", "Message is not a JSON object")
+        F.col("_d.bad") | ~F.col("_whole"), _errors_of("", "json_invalid", "Message is not a JSON object")
     ).otherwise(F.concat(*fields, F.when(F.size(unknown) > 0, extra).otherwise(_errors_of())))
 
 

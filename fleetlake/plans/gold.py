@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,8 @@ def run_gold(
 ) -> dict:
     """Run reports (all by default) and write ``<report>_<YYYYmmdd_HHMMSS>.parquet`` each.
 
-    Earlier outputs are removed once the new ones are complete, except those of a report
-    that failed in this run.
+    Earlier outputs of a report are removed once its new one is complete. Those of reports that
+    failed, or that this run did not ask for, stay.
     """
     runner = ReportRunner(spark, queries_dir)
     storage = Storage(spark)
@@ -40,8 +41,8 @@ def run_gold(
         ).rows
 
     result = runner.run_many(names, silver_dir, write)
-    failed = tuple(f"{n}_" for n in result["failed_reports"])
     for old in earlier:
-        if not old.endswith(f"_{stamp}.parquet") and not (failed and old.startswith(failed)):
+        named = re.fullmatch(r"(.*)_(\d{8}_\d{6})\.parquet", old)
+        if named and named[1] in result["successful_reports"] and named[2] != stamp:
             storage.delete(f"{gold_dir}/{old}")
     return result

@@ -5,13 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from contextlib import contextmanager
-from pathlib import Path
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.operators.reports import fastest_vehicles_per_hour, vin_last_state
+from fleetlake.sources.storage import Storage
 from fleetlake.sources.tables import read_silver
 
 REPORT_TABLE = "report_table"
@@ -25,18 +26,28 @@ SHIPPED_REPORTS: dict[str, Report] = {
 }
 
 
+# Threads that share a session bind the view one after another.
+_VIEW = RLock()
+
+
 @contextmanager
 def _report_table(silver: DataFrame):
-    """``report_table`` for the time of one report; a view of that name is put back after."""
+    """``report_table`` for the time of one analysis.
+
+    A temporary view of that name is put back after it; a table of that name is only hidden
+    meanwhile.
+    """
     spark = silver.sparkSession
-    before = spark.table(REPORT_TABLE) if spark.catalog.tableExists(REPORT_TABLE) else None
-    silver.createOrReplaceTempView(REPORT_TABLE)
-    try:
-        yield
-    finally:
-        spark.catalog.dropTempView(REPORT_TABLE)
-        if before is not None:
-            before.createOrReplaceTempView(REPORT_TABLE)
+    with _VIEW:
+        exists = spark.catalog.tableExists(REPORT_TABLE)
+        before = spark.table(REPORT_TABLE) if exists and spark.catalog.getTable(REPORT_TABLE).isTemporary else None
+        silver.createOrReplaceTempView(REPORT_TABLE)
+        try:
+            yield
+        finally:
+            spark.catalog.dropTempView(REPORT_TABLE)
+            if before is not None:
+                before.createOrReplaceTempView(REPORT_TABLE)
 
 
 def text_timestamps_to_utc(df: DataFrame) -> DataFrame:
@@ -58,6 +69,8 @@ def run_sql(silver: DataFrame, text: str) -> DataFrame:
 
 
 class ReportRunner:
+    """Runs the shipped reports, or the ``<name>.sql`` files of a directory on any storage."""
+
     def __init__(self, spark: SparkSession, queries_dir: str | None = None):
         self.spark = spark
         self.queries_dir = queries_dir
@@ -65,7 +78,13 @@ class ReportRunner:
     def available(self) -> list[str]:
         if self.queries_dir is None:
             return list(SHIPPED_REPORTS)
-        return sorted(f.stem for f in Path(self.queries_dir).glob("*.sql"))
+        storage = Storage(self.spark)
+        if not storage.exists(self.queries_dir):
+            raise FileNotFoundError(f"Queries directory not found: {self.queries_dir}")
+        names = [n.removesuffix(".sql") for n in storage.names(self.queries_dir, ".sql")]
+        if not names:
+            raise FileNotFoundError(f"No .sql files in {self.queries_dir}")
+        return names
 
     def build(self, name: str, silver: DataFrame) -> tuple[str | None, DataFrame]:
         """The SQL file, if any, and the still lazy result of one report."""
@@ -73,10 +92,11 @@ class ReportRunner:
             if name not in SHIPPED_REPORTS:
                 raise FileNotFoundError(f"SQL file not found: {name}.sql")
             return None, SHIPPED_REPORTS[name](silver)
-        sql_file = Path(self.queries_dir) / f"{name}.sql"
-        if not sql_file.exists():
+        sql_file = f"{self.queries_dir.rstrip('/')}/{name}.sql"
+        if not Storage(self.spark).exists(sql_file):
             raise FileNotFoundError(f"SQL file not found: {sql_file}")
-        return str(sql_file), run_sql(silver, sql_file.read_text())
+        text = self.spark.read.text(sql_file, wholetext=True).first()
+        return sql_file, run_sql(silver, text["value"] if text else "")
 
     def run(
         self,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions.patterns import DEFAULT_PATTERN
-from fleetlake.operators.injection import find_violations, plan_scan, summarise_scan
+from fleetlake.operators.injection import check_arguments, find_violations, plan_scan, summarise_scan
 from fleetlake.schemas import VIOLATION_SCHEMA
 from fleetlake.sources.tables import read_for_scan
 
@@ -48,10 +48,7 @@ def run_scan(
     started = time.time()
     columns = DEFAULT_COLUMNS if columns is None else columns
     patterns = [DEFAULT_PATTERN] if patterns is None else patterns
-    if not columns:
-        raise ValueError("columns_to_check cannot be empty")
-    if not patterns:
-        raise ValueError("injection_patterns cannot be empty")
+    check_arguments(columns, patterns)
     table = read_for_scan(spark, data_path, schema)
     notes: list[str] = []
     if table is None:
@@ -60,7 +57,9 @@ def run_scan(
         if output_dir is not None:
             write_violations(violations, output_dir)
     else:
-        notes = plan_scan(table, columns, patterns).warnings
+        usable = plan_scan(table, columns, patterns)
+        notes = usable.warnings
+        columns, patterns = usable.columns, usable.patterns
         violations = find_violations(table, columns, patterns)
         if output_dir is None:
             summary = summarise_scan(table, columns, patterns).first()

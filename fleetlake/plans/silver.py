@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from fleetlake.operators.silver import to_silver
 from fleetlake.schemas import BRONZE_TABLE_SCHEMA
 from fleetlake.sinks import DATE_HOUR, write_table
+from fleetlake.sources.storage import Storage
 from fleetlake.sources.tables import has_parquet, read_bronze
 
 
@@ -29,8 +30,10 @@ def run_silver(
     Bronze is a completed run with zeros.
     """
     started = time.time()
-    if bronze_dir.rstrip("/") == output_dir.rstrip("/"):
-        raise ValueError("Silver cannot replace the table it is read from")
+    storage = Storage(spark)
+    source, target = (f"{storage.qualified(p)}/" for p in (bronze_dir, output_dir))
+    if source.startswith(target) or target.startswith(source):
+        raise ValueError("Silver cannot be written into the table it is read from, or around it")
     result = {
         "status": "completed",
         "input_rows": 0,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,20 +14,23 @@ from pyspark.sql import types as T
 from fleetlake.functions.gear import GEAR_SPELLINGS, UNKNOWN_GEAR
 from fleetlake.functions.gear import gear_number
 from fleetlake.functions.patterns import DEFAULT_PATTERN, PATTERN_LIBRARY
-from fleetlake.functions.text import strip_unicode
+from fleetlake.functions.text import is_one_value, strip_unicode
 from fleetlake.functions.udf import map_elements
 from fleetlake.operators import reports
 from fleetlake.operators.injection import find_violations, summarise_scan
 from fleetlake.operators.silver import check_silver, drop_null_vins, to_silver
 from fleetlake.operators.sizing import estimate_parquet_size_mb, split_by_size
 from fleetlake.operators.validation import error_counts, validate_messages
+from fleetlake.plans.gold import run_gold
 from fleetlake.plans.pipeline import run_pipeline
 from fleetlake.plans.reports import run_sql
-from fleetlake.plans.security import DEFAULT_COLUMNS
+from fleetlake.plans.security import DEFAULT_COLUMNS, run_scan
 from fleetlake.schemas import BRONZE_FIELDS
 from fleetlake.session import configure, shared_folder
-from fleetlake.sinks import partition_text, with_date_hour, write_table
+from fleetlake.sinks import partition_text, with_date_hour, write_parquet, write_table, write_unpartitioned
 from fleetlake.sources.events import raw_messages, read_events, vehicle_messages
+from fleetlake.sources.messages import read_messages
+from fleetlake.sources.storage import Storage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,12 +60,34 @@ def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    folder = shared_folder(spark, fallback=f"/tmp/fleetlake-{uuid.uuid4().hex}")
-    return f"{folder.rstrip('/')}/fleetlake-{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, deleted when Python ends: lazy results read it until then."""
+    path = f"{shared_folder(spark)}/fleetlake-{name}-{uuid.uuid4().hex}"
+    atexit.register(_delete, Storage(spark), path)
+    return path
+
+
+def _delete(storage: Storage, path: str) -> None:
+    with suppress(Exception):  # the session may have ended before
+        storage.delete(path)
 
 
 def message_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir)
+    """Land the messages in both layouts and read them back: as lines, and the well-formed ones
+    as lists of up to 500, a file each."""
+    base = _scratch(spark, "landing")
+    raw = _raw(spark, sf_dir)
+    raw.select("raw").write.text(f"{base}/lines")
+    is_message = is_one_value(F.col("raw")) & F.from_json("raw", "map<string,string>").isNotNull()
+    lists = (
+        raw.where(is_message).groupBy(F.floor(F.col("event_id") / 500).alias("fetch"))
+        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("raw"), ", "), F.lit("]")).alias("value"))
+    )
+    lists.select("value").write.option("maxRecordsPerFile", 1).text(f"{base}/array")
+    read = [
+        read_messages(spark, f"{base}/{layout}", layout).select(F.lit(layout).alias("layout"), "raw")
+        for layout in ("lines", "array")
+    ]
+    return read[0].unionByName(read[1])
 
 
 def bronze_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +107,7 @@ def bronze_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(F.size("errors") == 0)
         .select(
             "event_id", "vin", "manufacturer", "year", "model", "velocity", "wipersState",
-            _ntz("timestamp"),
+            _ntz("timestamp"), "gearPosition", "speed", "rpm", "fuel_level", "engine_temp",
         )
     )
 
@@ -233,9 +260,20 @@ def injection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise_scan(_messages(spark, sf_dir), DEFAULT_COLUMNS, [DEFAULT_PATTERN])
 
 
-def _text_scan(table: str, column: str, patterns: list[str]) -> Query:
+# Texts with a hit for each shipped pattern, and some without, put after the tables' own texts.
+PLANTS = [
+    "", "it's 'quoted'", "SELECT it", "/* note */", "-- note", "UNION ALL SELECT", "OR a = b OR", "AND a = b AND",
+    "<script>x</script>", "javascript: x", "vbscript: x", "data: x", "plain",
+]
+
+
+def _text_scan(table: str, column: str, patterns: list[str], planted_by: str | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         data = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        if planted_by:
+            plants = F.array(*[F.lit(p) for p in PLANTS])
+            plant = F.element_at(plants, (F.expr(planted_by) % len(PLANTS) + 1).cast("int"))
+            data = data.withColumn(column, F.concat(F.col(column), F.lit("\n"), plant))
         return find_violations(data, [column], patterns).select(
             "row_index", "file_row_index", "matched_pattern",
             F.md5("column_value").alias("value_md5"),
@@ -244,6 +282,71 @@ def _text_scan(table: str, column: str, patterns: list[str]) -> Query:
     return query
 
 
+def injection_scan_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan a tree of nested plain and key=value folders; read the report table back."""
+    base = _scratch(spark, "folders")
+    messages = _messages(spark, sf_dir)
+    for n, folder in enumerate(["plain", "plain/deep/er", "keys/shard=1", "keys/shard=2"]):
+        messages.where(F.col("event_id") % 4 == n).write.parquet(f"{base}/in/{folder}")
+    report = run_scan(spark, f"{base}/in", output_dir=f"{base}/out")
+    folder = F.regexp_extract("file_path", r"/in/(.*)/[^/]*$", 1)
+    event = F.get_json_object("message_json", "$.event_id").cast("bigint")
+    return report["violations"].select(
+        folder.alias("folder"), event.alias("event_id"), "column_name", "column_value", "matched_pattern",
+        F.lit(report["total_rows_scanned"]).cast("bigint").alias("rows_scanned"),
+        F.lit(report["violations_found"]).cast("bigint").alias("violations_found"),
+    )
+
+
+def gold_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run all reports into Gold and read both outputs back, all columns as text."""
+    base = _scratch(spark, "gold")
+    write_unpartitioned(_silver(spark, sf_dir), f"{base}/silver")
+    run = run_gold(spark, f"{base}/silver", f"{base}/gold")
+    read = {}
+    for name in run["successful_reports"]:
+        read[name] = spark.read.parquet(f"{base}/gold/{name}_*.parquet")
+    stamp = F.date_format("max_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    columns = {
+        "fastest_vehicles_per_hour": ["date", "hour", "max_velocity_per_vin", "rank"],
+        "vin_last_state": [stamp, "front_left_door_state", "wipers_state", F.lit(None)],
+    }
+    parts = [
+        read[name].select(
+            F.lit(name).alias("report"), "vin",
+            *[(F.col(c) if isinstance(c, str) else c).cast("string").alias(f"v{i}") for i, c in enumerate(of)],
+        )
+        for name, of in columns.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def custom_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition by gear, replace one partition, write a capped copy; count what is there."""
+    base = _scratch(spark, "gears")
+    silver = _silver(spark, sf_dir)
+    write_table(silver, f"{base}/gears", partition_columns=["gear_position"])
+    again = silver.where((F.col("gear_position") == 3) & (F.col("event_id") % 24 == 3))
+    write_table(again, f"{base}/gears", partition_columns=["gear_position"], compression="gzip")
+    write_parquet(silver, output_path=f"{base}/capped", max_file_size_mb=0.7, compression="snappy")
+    capped = spark.read.parquet(f"{base}/capped").groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
+    gears = spark.read.option("inferSchema", "false").schema("vin string, gear_position string").parquet(f"{base}/gears")
+    return (
+        gears.groupBy(F.col("gear_position").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        .unionByName(capped.agg(F.lit("capped").alias("part"), F.sum("n").alias("n")))
+        .unionByName(capped.agg(F.lit("over 700 rows").alias("part"), F.count_if(F.col("n") > 700).alias("n")))
+    )
+
+
+def size_estimate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The estimate from the rows themselves, with times, nulls and text beyond ASCII."""
+    rows = _messages(spark, sf_dir).select(
+        "event_id", F.concat(F.col("model"), F.lit("é😀")).alias("model"), "velocity", "wipersState",
+        F.col("timestamp").cast("timestamp").alias("timestamp"),
+    )
+    return estimate_parquet_size_mb(rows)
+
+
 def size_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     return estimate_parquet_size_mb(raw, row_length=F.length("raw"))
@@ -302,12 +405,16 @@ _QUERIES: dict[str, Query] = {
     "injection_summary": injection_summary,
     "injection_scan_pages": _text_scan("pages", "html", [DEFAULT_PATTERN]),
     "pattern_library_pages": _text_scan("pages", "html", list(PATTERN_LIBRARY.values())),
-    "pattern_library_documents": _text_scan("documents", "text", list(PATTERN_LIBRARY.values())),
+    "pattern_library_documents": _text_scan("documents", "text", list(PATTERN_LIBRARY.values()), "doc_id"),
     "pattern_library_conversations": _text_scan(
-        "conversations", "text", list(PATTERN_LIBRARY.values())
+        "conversations", "text", list(PATTERN_LIBRARY.values()), "conv_id + turn"
     ),
     "custom_patterns_documents": _text_scan("documents", "text", CUSTOM_PATTERNS),
+    "injection_scan_folders": injection_scan_folders,
+    "gold_reports": gold_reports,
+    "custom_partition_sink": custom_partition_sink,
     "size_estimate": size_estimate,
+    "size_estimate_rows": size_estimate_rows,
     "size_chunks": size_chunks,
     "pipeline_metrics": pipeline_metrics,
 }

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
+from fleetlake.sources.storage import Storage
+
 # Settings the library sets on any session it runs in; all but the last change results.
 RUNTIME_SETTINGS = {
     # Day, hour and partition values are always taken in UTC.
@@ -46,15 +50,13 @@ def build_session(
     return configure(builder.getOrCreate())
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    ``fallback`` is used, and made the checkpoint folder, only where the cluster names none.
+    Where the session names none: the user's directory on the default file system, or, in a
+    local session, whose executors are this process, a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    if not folder and spark.sparkContext.master.partition("[")[0] == "local":
+        folder = tempfile.mkdtemp(prefix="fleetlake-")
+    return (folder or Storage(spark).home()).rstrip("/")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -17,6 +19,7 @@ DATE_HOUR = ["date", "hour"]
 CODECS = ["lz4", "uncompressed", "snappy", "gzip", "lzo", "brotli", "zstd"]
 MAX_FILE_SIZE_MB = 125.0
 BYTES_PER_ROW = 1_000
+LISTING_THREADS = 16
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Characters a partition directory name holds as %XX.
@@ -116,7 +119,8 @@ def write_table(
     )
     storage = Storage(df.sparkSession)
     touched = ["/".join(_directory(k, v) for k, v in zip(keys, p)) for p in seen.get["partitions"]]
-    files = sum(len(storage.names(f"{path}/{d}", ".parquet")) for d in touched)
+    with ThreadPoolExecutor(LISTING_THREADS) as pool:
+        files = sum(pool.map(lambda d: len(storage.names(f"{path}/{d}", ".parquet")), touched))
     return WriteStats(seen.get["rows"], files, len(touched), _elapsed_ms(started))
 
 
@@ -162,9 +166,19 @@ def write_parquet(
     output_path: str | None = None,
     partitioning_enabled: bool | None = None,
     partition_columns: list[str] | None = None,
+    validation_enabled: bool = False,
+    validator: Callable[[DataFrame], DataFrame] | None = None,
     **options,
 ) -> WriteStats:
-    """One entry for both layouts: ``output_dir`` is partitioned, ``output_path`` is not."""
+    """One entry for both layouts: ``output_dir`` is partitioned, ``output_path`` is not.
+
+    With ``validation_enabled`` the rows first go through ``validator``, which returns the
+    frame to write and may fail rows, as ``gate(validate_messages(df))`` does.
+    """
+    if validation_enabled:
+        if validator is None:
+            raise ParquetWriteError("A validator is required when validation is enabled")
+        df = validator(df)
     if output_dir is None and output_path is None:
         raise ParquetWriteError("Either output_dir or output_path must be provided")
     if output_dir is not None and output_path is not None:

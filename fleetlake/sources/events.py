@@ -79,6 +79,8 @@ def raw_messages(events: DataFrame) -> DataFrame:
     timestamp = (
         F.when(n % 53 == 0, '"not a time"')
         .when(n % 59 == 0, "null")
+        .when(n % 19 == 0, F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("string"))
+        .when(n % 17 == 0, F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"')))
         .when(n % 2 == 0, F.concat(F.lit('"'), stamp, F.lit('Z"')))
         .when(n % 3 == 0, F.concat(F.lit('"'), stamp, F.lit('+02:00"')))
         .otherwise(F.concat(F.lit('"'), stamp, F.lit('"')))
@@ -99,6 +101,14 @@ def raw_messages(events: DataFrame) -> DataFrame:
         F.lit(', "timestamp": '),
         timestamp,
         F.when(n % 67 == 0, ', "gear": "P"').otherwise(""),
+        F.when(n % 9 == 0, ', "gearPosition": 3').otherwise(', "gearPosition": " d "'),
+        F.when(n % 97 == 0, ', "speed": -1.5').when(n % 89 == 0, ', "speed": "12.5"').otherwise(', "speed": 8.25'),
+        F.when(n % 101 == 0, ', "rpm": -5').when(n % 103 == 0, ', "rpm": "x"').otherwise(', "rpm": 900'),
+        F.when(n % 107 == 0, ', "fuel_level": true').when(n % 109 == 0, ', "fuel_level": "abc"')
+        .otherwise(', "fuel_level": 0.5'),
+        F.when(n % 113 == 0, ', "engine_temp": [1]').otherwise(', "engine_temp": 90'),
     )
-    raw = F.concat(F.lit("{"), body, F.when(n % 71 == 0, "").otherwise("}"))
+    # Text after the message: more text, a second message, a separator.
+    after = F.when(n % 73 == 0, " garbage").when(n % 79 == 0, '{"a": 1}').when(n % 83 == 0, ",").otherwise("")
+    raw = F.concat(F.lit("{"), body, F.when(n % 71 == 0, "").otherwise("}"), after)
     return events.withColumn("_vin", _vin()).select(_ID, raw.alias("raw"))

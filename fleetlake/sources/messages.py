@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: messages asked for when the caller of an ingestion names no amount.
-DEFAULT_AMOUNT = 10_000
+from fleetlake.functions.text import is_one_value
 
 
 def read_messages(
@@ -29,7 +28,7 @@ def read_messages(
         fault = F.concat(
             F.lit("Expected a list of messages, got: "), F.substring("value", 1, 80)
         )
-        is_list = F.ltrim("value").startswith("[") & F.col("items").isNotNull()
+        is_list = F.ltrim("value").startswith("[") & F.col("items").isNotNull() & is_one_value(F.col("value"))
         messages = whole.select(
             F.explode(F.when(is_list, F.col("items")).otherwise(F.raise_error(fault))).alias("raw")
         )

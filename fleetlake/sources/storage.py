@@ -18,9 +18,30 @@ class Storage:
         fs, hadoop_path = self._open(path)
         return fs.exists(hadoop_path)
 
-    def is_directory(self, path: str) -> bool:
+    def qualified(self, path: str) -> str:
+        """The path with scheme and authority, the same however it was spelled."""
         fs, hadoop_path = self._open(path)
-        return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
+        return fs.makeQualified(hadoop_path).toString().rstrip("/")
+
+    def home(self) -> str:
+        """The user's directory on the default file system."""
+        return self._paths.FileSystem.get(self._conf).getHomeDirectory().toString()
+
+    def directories(self, path: str, suffix: str) -> set[str]:
+        """Directories below ``path`` (relative, "" for itself) with files that end so.
+
+        Hidden ones, whose name starts with "_" or ".", are left out, as Spark's readers do;
+        a ``key=value`` name is never hidden.
+        """
+        root = self.qualified(path)
+        fs, hadoop_path = self._open(path)
+        found: set[str] = set()
+        walker = fs.listFiles(hadoop_path, True)
+        while walker.hasNext():
+            file = walker.next().getPath()
+            if file.getName().endswith(suffix):
+                found.add(file.getParent().toString().rstrip("/").removeprefix(root).strip("/"))
+        return {d for d in found if not any(p[0] in "_." and "=" not in p for p in d.split("/") if p)}
 
     def names(self, path: str, suffix: str = "") -> list[str]:
         """Names directly under a directory; empty when it does not exist."""

@@ -3,29 +3,59 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.schemas import BRONZE_TABLE_SCHEMA
 from fleetlake.sources.storage import Storage
 
+_SUFFIX = ".parquet"
+
 
 def has_parquet(spark: SparkSession, path: str) -> bool:
-    return Storage(spark).has_file(path, ".parquet")
+    storage = Storage(spark)
+    return storage.exists(path) and bool(storage.directories(path, _SUFFIX))
+
+
+def read_tree(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False
+) -> DataFrame:
+    """Every ``.parquet`` file below ``path``, however the folders are nested.
+
+    A tree of ``key=value`` folders alone is read with Spark's partition discovery, so filters
+    on the keys prune folders. Where plain folders occur, Spark's discovery would pass over
+    files; such a tree is read file by file, and the keys come from the paths as text.
+    """
+    reader = spark.read.option("pathGlobFilter", f"*{_SUFFIX}")
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", str(merge).lower())
+    folders = Storage(spark).directories(path, _SUFFIX)
+    parts = [d.split("/") if d else [] for d in folders]
+    levels = {tuple(p.partition("=")[0] for p in d) for d in parts}
+    if all("=" in p for d in parts for p in d) and len(levels) <= 1:
+        return reader.parquet(path)
+    table = reader.option("recursiveFileLookup", "true").parquet(path)
+    keys = sorted({p.partition("=")[0] for d in parts for p in d if "=" in p})
+    types = {f.name: f.dataType for f in table.schema.fields}
+    for key in keys:
+        at = F.regexp_extract(F.col("_metadata.file_path"), f"/\\Q{key}\\E=([^/]*)/", 1)
+        value = F.when((at != "") & (at != "__HIVE_DEFAULT_PARTITION__"), F.url_decode(at))
+        value = value.try_cast(types[key]) if key in types else value
+        table = table.withColumn(key, F.coalesce(F.col(f"`{key}`"), value) if key in types else value)
+    return table
 
 
 def read_bronze(
     spark: SparkSession, path: str, schema: T.StructType | None = BRONZE_TABLE_SCHEMA
 ) -> DataFrame:
     """All Bronze files, with the declared schema; ``schema=None`` takes it from the files."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return read_tree(spark, path, schema)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver with its ``date`` and ``hour`` columns; an empty table is an error."""
     if not has_parquet(spark, path):
         raise FileNotFoundError(f"No Silver data found in {path}")
-    silver = spark.read.parquet(path)
+    silver = read_tree(spark, path)
     if silver.isEmpty():
         raise FileNotFoundError(f"No Silver data found in {path}")
     return silver
@@ -42,6 +72,4 @@ def read_for_scan(
         raise FileNotFoundError(f"Data directory not found: {path}")
     if not has_parquet(spark, path):
         return None
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return read_tree(spark, path, schema, merge=True)

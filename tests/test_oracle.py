@@ -1,6 +1,7 @@
 import pytest
 
 import oracle_check
+from fleetlake import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -10,7 +11,7 @@ def con():
     return oracle_check.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_check.entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_sql(spark, con, name):
     assert oracle_check.compare(spark, con, name, SF_DIR) is None
 

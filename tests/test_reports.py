@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -59,6 +60,44 @@ def test_sql_report_and_text_timestamps(spark):
     spark.catalog.dropTempView("report_table")
 
 
+def test_a_table_of_the_views_name_is_not_shadowed_afterwards(spark):
+    df = silver(spark, [("a", datetime(2025, 1, 27, 3), 1, None, None)])
+    spark.range(3).write.mode("overwrite").saveAsTable("report_table")
+    try:
+        assert run_sql(df, "SELECT vin FROM report_table").count() == 1
+        assert not spark.catalog.getTable("report_table").isTemporary
+    finally:
+        spark.sql("DROP TABLE report_table")
+
+
+def test_a_wrong_queries_directory_deletes_nothing(spark, folder, tmp_path):
+    df = silver(spark, [("a", datetime(2025, 1, 27, 3), 1, "OPEN", True)])
+    write_table(df, f"{folder}/silver")
+    old = f"{folder}/gold/vin_last_state_20200101_000000.parquet"
+    df.write.parquet(old)
+    with pytest.raises(FileNotFoundError):
+        run_gold(spark, f"{folder}/silver", f"{folder}/gold", queries_dir=f"{folder}/nowhere")
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        run_gold(spark, f"{folder}/silver", f"{folder}/gold", queries_dir=str(tmp_path / "empty"))
+    assert spark.read.parquet(old).count() == 1
+
+
+def test_gold_removes_only_what_it_renewed(spark, folder, tmp_path):
+    df = silver(spark, [("a", datetime(2025, 1, 27, 3), 1, "OPEN", True)])
+    write_table(df, f"{folder}/silver")
+    queries = tmp_path / "queries"
+    queries.mkdir()
+    (queries / "a.sql").write_text("SELECT count(*) AS n FROM report_table")
+    (queries / "a_b.sql").write_text("SELECT nothing FROM report_table")
+    for name in ("a", "a_b", "other"):
+        df.write.parquet(f"{folder}/gold/{name}_20200101_000000.parquet")
+    run = run_gold(spark, f"{folder}/silver", f"{folder}/gold", queries_dir=f"file:{queries}")
+    assert (run["successful_reports"], run["failed_reports"]) == (["a"], ["a_b"])
+    left = sorted(p.name for p in Path(folder, "gold").glob("*.parquet"))
+    assert [n[: -len("_20200101_000000.parquet")] for n in left if "20200101" in n] == ["a_b", "other"] and len(left) == 3
+
+
 def test_runner_and_gold(spark, folder, tmp_path):
     df = silver(spark, [("a", datetime(2025, 1, 27, 3), 1, "OPEN", True)])
     write_table(df, f"{folder}/silver")

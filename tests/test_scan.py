@@ -5,17 +5,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.functions.patterns import DEFAULT_PATTERN, PATTERN_LIBRARY, matches, pattern_error
+from fleetlake.functions.re2 import to_jvm
 from fleetlake.operators import injection
 from fleetlake.plans.security import run_scan
 
 COLUMNS = ["vin", "manufacturer", "model"]
 MAIN = [
-    ("1G4AP6949BX114240", "Buick", "LeSabre"),
-    ("1G4AP6949BX114241'; DROP TABLE users; --", "Honda", "Civic"),
-    ("1G4AP6949BX114242", "'; SELECT * FROM passwords; --", "Accord"),
-    ("1G4AP6949BX114243", "Toyota", "Camry OR 1=1"),
-    ("1G4AP6949BX114244", "Ford; DROP TABLE cars; --", "F-150"),
-    ("1G4AP6949BX114245", "Chevrolet", "Silverado /* comment */"),
+    ("VIN00000000000001", "Alba", "one"),
+    ("VIN'; DELETE FROM logs", "Brio", "two"),
+    ("VIN00000000000003", "INSERT INTO it", "three"),
+    ("VIN00000000000004", "Corvo", "four OR 2=2"),
+    ("VIN00000000000005", "Delta;", "five"),
+    ("VIN00000000000006", "Erba", "six /* note */"),
 ]
 
 
@@ -53,6 +54,45 @@ def test_files_with_other_columns_and_clean_data(spark, folder):
     assert clean["violations"].count() == 0
 
 
+LAYOUTS = {
+    "nested": ["n", "n/sub", "n/sub/deep"],
+    "only below": ["sub/a", "sub/b/c"],
+    "keys": ["date=2025-01-01/hour=01", "date=2025-01-01/hour=02"],
+    "mixed": ["plain", "t/date=2025-01-01/hour=01", "t/date=2025-01-02/hour=02", "date=2025-01-03"],
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+@pytest.mark.parametrize("schema", [None, "vin string, manufacturer string, model string"])
+def test_every_file_below_a_path_is_scanned(spark, folder, name, schema):
+    for i, place in enumerate(LAYOUTS[name]):
+        save(spark, [(f"v{i};", "x", "y"), ("clean", "x", "y")], f"{folder}/{place}/part{i}" if name == "nested" else f"{folder}/{place}")
+    given = schema and spark.createDataFrame([], schema).schema
+    report = run_scan(spark, folder, schema=given, output_dir=f"{folder}-out")
+    n = len(LAYOUTS[name])
+    assert (report["total_files_scanned"], report["total_rows_scanned"], report["violations_found"]) == (n, 2 * n, n)
+    found = report["violations"].collect()
+    assert len({r["file_path"] for r in found}) == n and report["exit_code"] == 1
+    if name == "mixed" and schema is None:
+        rows = [json.loads(r["message_json"]) for r in found]
+        assert sorted(str(r["date"]) for r in rows) == ["2025-01-01", "2025-01-02", "2025-01-03", "None"]
+        assert {r["hour"] for r in rows} == {"01", "02", None}
+
+
+def test_hour_is_padded_only_where_it_names_a_folder(spark, folder):
+    save(spark, [("a;", 7)], folder, "vin string, hour int")
+    row = injection.find_violations(spark.read.parquet(folder), ["vin"], [";"]).first()
+    assert json.loads(row["message_json"])["hour"] == "7"
+
+
+def test_plain_patterns_run_in_the_jvm(spark, folder):
+    save(spark, MAIN, folder)
+    table = spark.read.parquet(folder)
+    plan = injection.find_violations(table, ["vin"], [r"\b[A-Z]{3}'", r"<(b|i)>[^<]*</"])
+    assert "ArrowEvalPython" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert to_jvm(r"(a+)+b") is None and to_jvm(r"a.*b.*c.*d") is None and to_jvm(r"\p{L}") is None
+
+
 def test_guards(spark, folder, tmp_path):
     with pytest.raises(FileNotFoundError):
         run_scan(spark, f"{folder}/none")
@@ -70,7 +110,7 @@ def test_bad_pattern_and_missing_column_are_skipped(spark, folder):
     save(spark, MAIN, f"{folder}/in")
     assert pattern_error("[invalid_regex_pattern") and pattern_error("(?=a)") and not pattern_error("a+")
     with pytest.warns(UserWarning):
-        report = run_scan(spark, f"{folder}/in", columns=["vin", "colour"], patterns=["[invalid", r"DROP\s"])
+        report = run_scan(spark, f"{folder}/in", columns=["vin", "colour"], patterns=["[invalid", r"DELETE\s"])
     assert report["violations_found"] == 1 and len(report["warnings"]) == 2
     with pytest.warns(UserWarning):
         nothing = run_scan(spark, f"{folder}/in", columns=["vin"], patterns=["[invalid"])
@@ -115,7 +155,7 @@ TEXTS = ["", "'", "''", "'a'", "a'b", "a'b'c", ";", "DROP", "drop", "DROPS", "xD
 
 def test_patterns_agree_with_re2(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, t string")
-    own = [r"OR\b", r"^a.*$", r"\s--", "[é]", r"\w\W\w", "a|b", r"--.*$"]
+    own = [r"OR\b", r"^a.*$", r"\s--", "[é]", r"\w\W\w", "a|b", r"--.*$", r"\b", r"^$", r".", r"[^\s]", r"(OR|AND) ?=", r"x{0,2}y", r"[\w;]+$"]
     patterns = [DEFAULT_PATTERN, *PATTERN_LIBRARY.values(), *own]
     rows = df.select("i", *[matches(F.col("t"), p).alias(f"p{n}") for n, p in enumerate(patterns)]).collect()
     con = duckdb.connect()

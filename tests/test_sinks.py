@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlake.operators.sizing import estimate_parquet_size_mb, split_by_size
+from fleetlake.operators.sizing import estimate_parquet_size_mb, json_length, split_by_size
 from fleetlake.sinks import ParquetWriteError, write_parquet, write_table, write_unpartitioned
 
 
@@ -75,6 +75,35 @@ def test_entry_arguments(spark, folder):
     assert directories(f"{folder}/many") == ["date=2025-01-01/hour=05"]
 
 
+def test_validator(spark, folder):
+    df = frame(spark, [("a", at(1, 5), "7", 1), (None, at(1, 5), "7", 2)])
+    with pytest.raises(ParquetWriteError, match="validator"):
+        write_parquet(df, output_dir=folder, validation_enabled=True)
+    stats = write_parquet(df, output_dir=folder, validation_enabled=True, validator=lambda d: d.where("vin is not null"))
+    assert stats.rows == 1
+
+
+def test_json_length_of_times_and_other_scripts(spark):
+    rows = [("é😀", datetime(2025, 1, 27, 10, 30), None), ("a\"b", datetime(2025, 1, 27, 10, 30, 0, 500), 2.5)]
+    df = spark.createDataFrame(rows, "t string, at timestamp, x double")
+    texts = [{"t": t, "at": f"{a}+00:00", "x": x} for t, a, x in rows]
+    got = [r[0] for r in df.select(json_length(df)).collect()]
+    assert got == [len(json.dumps(t)) for t in texts]
+
+
+def test_splitting_does_not_gather_a_file(spark, folder):
+    spark.range(100).coalesce(1).write.parquet(folder)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = split_by_size(spark.read.parquet(folder), 0.0001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in plan.splitlines() if "Exchange hashpartitioning(__file" in line]
+    assert any("__block" in line for line in joins)
+
+
+# The rows of the size check.
 def size_rows():
     return [
         {"vin": f"1HGBH41JXMN{i:06d}", "manufacturer": "Honda", "gear": "D",

@@ -106,3 +106,25 @@ def test_coercion_agrees_with_lax_mode(spark, target):
             delta = aware - datetime(1970, 1, 1, tzinfo=timezone.utc)
             expected = (delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds
         assert repr(got[i]) == repr(expected), value
+
+
+@pytest.mark.parametrize("after", [" garbage", "{}", ",", "]", "] {}", ', "b": 1', "}", '}, "b": 1}'])
+def test_text_after_a_message_is_a_fault(spark, after):
+    message = '{"vin": null, "manufacturer": null, "timestamp": "2025-01-27T10:30:00Z"}'
+    df = spark.createDataFrame([(message,), (message + after,), (message + " \t",)], "raw string")
+    codes = [[e["code"] for e in r["errors"]] for r in validate_messages(df).collect()]
+    assert codes == [[], ["json_invalid"], []]
+
+
+def test_a_constant_message(spark):
+    message = '{"vin": null, "manufacturer": null, "timestamp": "2025-01-27T10:30:00Z"}'
+    df = spark.range(3).select(F.lit(message).alias("raw"))
+    assert [len(r["errors"]) for r in validate_messages(df).collect()] == [0, 0, 0]
+
+
+def test_text_after_a_list_fails_the_read(spark, tmp_path):
+    from fleetlake.sources.messages import read_messages
+
+    (tmp_path / "a.json").write_text('[{"a":1}][{"b":2}]')
+    with pytest.raises(Exception, match="Expected a list"):
+        read_messages(spark, str(tmp_path), "array").collect()
