@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.operators.validation import validate_messages
-from fleetlake.sinks import ParquetWriteError, write_table
+from fleetlake.sinks import ParquetWriteError, write_table, write_unpartitioned
 from fleetlake.sources.messages import read_messages
 from fleetlake.sources.storage import Storage
 
 SHOWN_ERRORS = 5
 _GATE = "bronze validation failed"
+# monotonically_increasing_id has the partition above these bits.
+_PART_BITS = 33
 
 
 class BronzeValidationError(ParquetWriteError):
@@ -40,28 +42,43 @@ def gate(validated: DataFrame) -> DataFrame:
 
 
 def validation_error(messages: DataFrame) -> BronzeValidationError | None:
-    """The count of invalid messages and the first few, by their position in the batch."""
-    bad = (
-        validate_messages(
-            messages.withColumn("index", F.monotonically_increasing_id()), keep=["index"]
-        )
-        .filter(F.size("errors") > 0)
-        .select("index", "errors")
+    """The count of invalid messages and the first few, by their position in the batch.
+
+    Positions count the messages in the order Spark reads them, over all files: a message's
+    place in its partition plus the messages of the partitions before it.
+    """
+    numbered = messages.withColumn("index", F.monotonically_increasing_id())
+    bad = validate_messages(numbered, keep=["index"]).filter(F.size("errors") > 0)
+    seen = Observation()
+    first = (
+        bad.select("index", "errors").observe(seen, F.count(F.lit(1)).alias("count"))
+        .orderBy("index").limit(SHOWN_ERRORS).collect()
     )
-    count = bad.count()
-    if count == 0:
+    if not first:
         return None
-    first = bad.orderBy("index").limit(SHOWN_ERRORS).collect()
+    sizes = numbered.groupBy(F.shiftright("index", _PART_BITS).alias("part")).count().collect()
+    before = {r["part"]: sum(s["count"] for s in sizes if s["part"] < r["part"]) for r in sizes if any(
+        f["index"] >> _PART_BITS == r["part"] for f in first
+    )}
     shown = [
-        f"Message {row['index']}: "
+        f"Message {before[row['index'] >> _PART_BITS] + (row['index'] & (1 << _PART_BITS) - 1)}: "
         + "; ".join(f"{e['field']}: {e['message']} [{e['code']}]" for e in row["errors"])
         for row in first
     ]
-    return BronzeValidationError(count, shown)
+    return BronzeValidationError(seen.get["count"], shown)
 
 
-def ingest(messages: DataFrame, output_dir: str, **write_options):
-    """Validate a batch of raw messages and write it; returns the write statistics."""
+def ingest(messages: DataFrame, output_dir: str, quarantine_dir: str | None = None, **write_options):
+    """Validate a batch of raw messages and write it; returns the write statistics.
+
+    A batch with an invalid message is refused as a whole, unless ``quarantine_dir`` names a
+    place for such messages and their errors.
+    """
+    if quarantine_dir is not None:
+        validated = validate_messages(messages, keep=["raw"])
+        fine = F.size("errors") == 0
+        write_unpartitioned(validated.filter(~fine).select("raw", "errors"), quarantine_dir)
+        return write_table(validated.filter(fine).drop("raw", "errors"), output_dir, **write_options)
     try:
         return write_table(gate(validate_messages(messages)), output_dir, **write_options)
     except Exception as error:

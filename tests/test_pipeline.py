@@ -4,6 +4,7 @@ import pytest
 
 from fleetlake.plans.bronze import BronzeValidationError, run_bronze
 from fleetlake.plans.pipeline import run_pipeline
+from fleetlake.plans.silver import run_silver
 from fleetlake.session import shared_folder
 from fleetlake.sources.messages import read_messages
 
@@ -32,6 +33,33 @@ def test_strict_batch(spark, tmp_path, folder):
     assert not list((tmp_path / folder.split("/")[-1]).rglob("*.parquet"))
 
 
+def test_positions_over_several_files(spark, tmp_path, folder):
+    (tmp_path / "landing").mkdir()
+    for n in range(4):
+        lines = [json.dumps(message(i, velocity=-1 if i == 7 else 1)) for i in range(10)]
+        (tmp_path / "landing" / f"f{n}.json").write_text("\n".join(lines))
+    with pytest.raises(BronzeValidationError) as error:
+        run_bronze(spark, str(tmp_path / "landing"), folder)
+    assert error.value.count == 4
+    assert [s.split(":")[0] for s in error.value.shown] == [f"Message {i}" for i in (7, 17, 27, 37)]
+
+
+def test_quarantine(spark, tmp_path, folder):
+    landing = land(tmp_path, [message(i, **({"velocity": -1} if i in (3, 5) else {})) for i in range(15)])
+    stats = run_bronze(spark, landing, folder, quarantine_dir=f"{folder}-bad")
+    assert stats["messages_fetched"] == 13
+    rows = spark.read.parquet(f"{folder}-bad").collect()
+    assert len(rows) == 2 and {e["code"] for r in rows for e in r["errors"]} == {"value_error"}
+
+
+@pytest.mark.parametrize("target", ["file:{}/bronze", "{}/bronze/", "{}/bronze/silver", "{}"])
+def test_silver_never_replaces_bronze(spark, tmp_path, folder, target):
+    run_bronze(spark, land(tmp_path, [message(1)]), f"{folder}/bronze")
+    with pytest.raises(ValueError, match="Silver cannot"):
+        run_silver(spark, f"{folder}/bronze", target.format(folder))
+    assert spark.read.parquet(f"{folder}/bronze").count() == 1
+
+
 def test_array_layout_amount_and_empty(spark, tmp_path, folder):
     landing = land(tmp_path, [message(i) for i in range(10)], array=True)
     assert read_messages(spark, landing, "array").count() == 10
@@ -60,4 +88,4 @@ def test_whole_pipeline(spark, tmp_path, folder):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark, "/tmp/unused") == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
