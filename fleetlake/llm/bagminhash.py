@@ -43,6 +43,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _NULL_ID = -(1 << 63)
+_COLUMNS = 8192
 
 
 def bags(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,38 +150,38 @@ def signed(docs: DataFrame, bands: int, rows: int, k: int) -> DataFrame:
     return docs.mapInArrow(work, "row bigint, doc_id bigint, key binary, pick bigint, bands array<bigint>")
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two bags (ascending hashes, counts)."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    common = int(np.minimum(a[1][i], b[1][j]).sum())
-    total = int(a[1].sum() + b[1].sum()) - common
-    return common / total if total else 0.0
-
-
-def near_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose texts (``id``, ``text``) are near."""
-
-    def bags_of(texts_: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        text, shingle, count = bags(Words(texts_), k)
-        bounds = np.searchsorted(text, np.arange(len(texts_) + 1))
-        return [(shingle[s:e], count[s:e]) for s, e in zip(bounds, bounds[1:])]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 200):
-                part = batch.slice(first, 200)
-                sides = []
-                for side in "ab":
-                    different = part.column(f"{side}_text").dictionary_encode()
-                    found = bags_of([t.encode() for t in different.dictionary.to_pylist()])
-                    sides.append([found[i] for i in different.indices.to_pylist()])
-                near = [similarity(x, y) >= threshold for x, y in zip(*sides)]
-                chosen = part.filter(pa.array(near, pa.bool_()))
-                yield pa.record_batch([chosen.column("a"), chosen.column("b")], names=["a", "b"])
-
-    for side in "ba":
-        pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text")), side)
-    return pairs.mapInArrow(work, "a bigint, b bigint")
+def near(threshold: float, k: int):
+    """Test for linking.py: which pairs of texts have similar bags.
+
+    The n-th occurrence of a shingle is an element of its own, so bags are sets, and common
+    elements are counted by a product of two 0/1 matrices, some columns at a time.
+    """
+
+    def elements(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        text, shingle, count = bags(Words(texts), k)
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        text, shingle = np.repeat(text, count), np.repeat(shingle, count)
+        return text, mix(shingle + _STEP * nth.astype(np.uint64)), np.bincount(text, minlength=len(texts))
+
+    def test(one: list[bytes], other: list[bytes]) -> np.ndarray:
+        (text_a, items_a, size_a), (text_b, items_b, size_b) = elements(one), elements(other)
+        both = np.intersect1d(items_a, items_b)
+        common = np.zeros((len(one), len(other)), np.float32)
+        place_a, place_b = np.searchsorted(both, items_a), np.searchsorted(both, items_b)
+        for first in range(0, len(both), _COLUMNS):
+            width = min(_COLUMNS, len(both) - first)
+            sides = []
+            for text, items, place, n in ((text_a, items_a, place_a, len(one)), (text_b, items_b, place_b, len(other))):
+                here = (place >= first) & (place < first + width)
+                here[here] = both[place[here]] == items[here]
+                matrix = np.zeros((n, width), np.float32)
+                matrix[text[here], place[here] - first] = 1
+                sides.append(matrix)
+            common += sides[0] @ sides[1].T
+        total = size_a[:, None] + size_b[None, :] - common
+        return (total > 0) & (common >= threshold * total)
+
+    return test
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -212,7 +213,7 @@ def near_classes(
     members = shared_buckets(chosen.select("id", F.explode("bands").alias("bucket")))
     wanted = stored(items.join(members.select("id").distinct(), "id").select("id", "key", "doc", "pick"), "candidates")
     texts = stored(_texts_of(docs, wanted), "candidate-texts")
-    labels = link(members, lambda pairs: near_pairs(pairs, texts, threshold, k))
+    labels = link(members, texts.select("id", F.col("text").cast("binary").alias("text")), near(threshold, k))
 
     labelled = items.join(labels, "id", "left").select("key", F.coalesce("label", "id").alias("label"), "doc")
     class_of = stored(

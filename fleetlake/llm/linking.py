@@ -1,28 +1,35 @@
 """Classes of linked items among the members of buckets, without listing all pairs of a bucket.
 
 Two items are linked when they share a bucket and pass a test; classes are the connected
-components of the links. First every member is tested against one hub of its bucket. A bucket
-whose members then are in one class is done. In the others more hubs follow, a slice of the
-members at a time, each tested only against members that come later and are in another class
-still. When every slice has been a hub, all pairs that could join two classes have been tested,
-so the classes are exact for these buckets, while a bucket of like items costs one test each.
+components of the links. First every member is tested against one hub of its bucket, and the
+classes so far are formed. A bucket whose members are all in the hub's class is done: a bucket of
+like items costs one test each. For the rest, buckets with hubs of one class make up an arena.
+There, every member outside the hub's class is tested against all members, in blocks of bounded
+size: a block is one task's work and gives out links, not pairs. Then all pairs that could join
+two classes have been tested, so the classes are exact for these buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import release, stored
 from fleetlake.llm.components import components
 
-_FIRST_SLICE, _GROWTH = 4, 4
+BLOCK = 128
+
+# Two lists of texts → a matrix that tells which are linked.
+Test = Callable[[list[bytes], list[bytes]], np.ndarray]
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """Stored rows (``bucket``, ``id``, ``hub``, ``n``) of buckets with several members.
+    """Stored rows (``bucket``, ``id``, ``hub``) of buckets with several members.
 
     ``buckets`` (``bucket``, ``id``: both bigint, rows distinct) is computed twice.
     """
@@ -31,46 +38,84 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
         "several",
     )
     release(buckets.sparkSession)
-    members = stored(buckets.join(several, "bucket"), "members")
+    members = stored(buckets.join(several, "bucket").select("bucket", "id", "hub"), "members")
     release(buckets.sparkSession)
     return members
 
 
-def link(members: DataFrame, test: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``id`` and ``label`` of every item that has a link. ``members``: see ``shared_buckets``;
-    ``test`` takes distinct pairs (``a`` < ``b``) and returns those that are linked."""
-    pairs = stored(
-        members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs"
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    for side in "ba":
+        pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text")), side)
+    return pairs
+
+
+def _tested(pairs: DataFrame, texts: DataFrame, test: Test) -> DataFrame:
+    """The linked ones of the pairs (``a``, ``b``)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Pairs of one hub are tested together.
+            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+            order = np.argsort(a, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+                for first in range(0, len(rows), BLOCK):
+                    part = rows[first : first + BLOCK]
+                    hub = batch.column("a_text")[int(part[0])].as_py() if len(part) else b""
+                    found = test([hub], batch.column("b_text").take(pa.array(part)).to_pylist())[0]
+                    linked = part[found]
+                    yield pa.record_batch([pa.array(a[linked]), pa.array(b[linked])], names=["a", "b"])
+
+    return _with_texts(pairs, texts).mapInArrow(work, "a bigint, b bigint")
+
+
+def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test) -> DataFrame:
+    """Links between members (``arena``, ``id``, ``label``) outside an arena's class and all of it."""
+    outside = F.col("label") != F.col("arena")
+    sizes = arenas.groupBy("arena").agg(
+        F.ceil(F.count_if(outside) / BLOCK).alias("rows"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("columns")
     )
-    links = stored(test(pairs), "links")
+    sized = arenas.join(stored(sizes, "arenas"), "arena")
+
+    def place(blocks: str):
+        return F.pmod(F.xxhash64("id"), F.col(blocks))
+
+    def every(blocks: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1))
+
+    queries = sized.where(outside).select("arena", "id", "label", F.lit(True).alias("query"), place("rows").alias("i"), every("columns").alias("j"))
+    answers = sized.select("arena", "id", "label", F.lit(False).alias("query"), place("columns").alias("j"), every("rows").alias("i"))
+
+    def work(table: pa.Table) -> pa.Table:
+        sides = [table.filter(pa.compute.equal(table.column("query"), value)) for value in (True, False)]
+        a, b = (side.column("id").to_numpy() for side in sides)
+        one, other = (side.column("label").to_numpy() for side in sides)
+        found = test(*(side.column("text").to_pylist() for side in sides)) if len(a) and len(b) else np.zeros((len(a), len(b)), bool)
+        i, j = np.nonzero(found & (one[:, None] != other[None, :]))
+        # One link to each class is enough.
+        _, first = np.unique(np.column_stack([one[i], other[j]]), axis=0, return_index=True) if len(i) else (None, i)
+        return pa.table({"a": a[i[first]], "b": b[j[first]]})
+
+    both = queries.unionByName(answers).join(texts, "id")
+    return both.groupBy("arena", "i", "j").applyInArrow(work, "a bigint, b bigint")
+
+
+def link(members: DataFrame, texts: DataFrame, test: Test, close: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``id`` and ``label`` of every item that has a link. ``members``: see ``shared_buckets``;
+    ``texts`` has ``id`` and ``text`` (binary) of them all. ``close`` may drop pairs with a hub
+    (``a``, ``b``) that the test would refuse, before their texts are fetched."""
+    pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    links = stored(_tested(stored(close(pairs) if close else pairs, "pairs"), texts, test), "links")
     labels = components(links)
-    first, last = 0, _FIRST_SLICE
-    while True:
-        named = labels.withColumnRenamed("id", "__id")
-        at = members.join(named, F.col("id") == F.col("__id"), "left").select(
-            "bucket", "id", "n", F.coalesce("label", "id").alias("label")
-        )
-        unlike = at.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l < m")
-        place = F.pmod(F.xxhash64("bucket", "id"), F.lit(1 << 20)) / float(1 << 20) * F.col("n")
-        open_ = stored(at.join(unlike.select("bucket"), "bucket").withColumn("place", place), "open")
-        most = open_.agg(F.max("n")).first()[0]
-        if most is None or first >= most:
-            return labels
-        hubs = open_.where((F.col("place") >= first) & (F.col("place") < last)).select(
-            "bucket", F.col("id").alias("h"), F.col("place").alias("h_place"), F.col("label").alias("h_label")
-        )
-        later = (F.col("place") > F.col("h_place")) | (
-            (F.col("place") == F.col("h_place")) & (F.col("id") > F.col("h"))
-        )
-        found = (
-            open_.join(hubs, "bucket").where((F.col("label") != F.col("h_label")) & later)
-            .select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti")
-        )
-        found = stored(found, "pairs")
-        new = stored(test(found), "links")
-        if not new.isEmpty():
-            chain = labels.select(F.col("label").alias("a"), F.col("id").alias("b"))
-            labels = components(chain.union(new.select("a", "b")))
-        first, last = last, last * _GROWTH
-        release(members.sparkSession)
+    named = labels.withColumnRenamed("id", "__id")
+    at = members.join(named, F.col("id") == F.col("__id"), "left").select(
+        "bucket", "id", "hub", F.coalesce("label", "id").alias("label")
+    )
+    arena = F.max(F.when(F.col("id") == F.col("hub"), F.col("label"))).alias("arena")
+    unlike = at.groupBy("bucket").agg(arena, F.min("label").alias("l"), F.max("label").alias("m")).where("l < m")
+    arenas = stored(at.join(stored(unlike, "open"), "bucket").select("arena", "id", "label").distinct(), "arena-members")
+    release(members.sparkSession)
+    more = stored(_tested_in_blocks(arenas, texts, test), "links")
+    if more.isEmpty():
+        return labels
+    chain = labels.select(F.col("label").alias("a"), F.col("id").alias("b"))
+    return components(chain.union(more))
