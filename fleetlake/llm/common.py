@@ -25,7 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
         folder = spark.sparkContext.getCheckpointDir()
@@ -68,15 +68,18 @@ def blocks(
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with about ``limit`` bytes of ``text``, and those texts as UTF-8."""
     for batch in batches:
-        texts = [t.encode() if t else b"" for t in batch.column("text").to_pylist()]
+        texts: list[bytes] = []
         first, size = 0, 0
-        for i, text in enumerate(texts):
-            if size and size + len(text) > limit:
-                yield batch.slice(first, i - first), texts[first:i]
-                first, size = i, 0
-            size += len(text)
-        if first < len(texts):
-            yield batch.slice(first), texts[first:]
+        for at in range(0, batch.num_rows, 64):
+            for text in batch.column("text").slice(at, 64).to_pylist():
+                text = text.encode() if text else b""
+                if size and size + len(text) > limit:
+                    yield batch.slice(first, len(texts)), texts
+                    first, size, texts = first + len(texts), 0, []
+                texts.append(text)
+                size += len(text)
+        if texts:
+            yield batch.slice(first), texts
 
 
 def crc_remainder(doc_id: Column, modulus: int) -> Column:

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,10 @@ _NORMAL = bytes.maketrans(
 )
 
 
+# Bit i of a byte as byte i of a 64-bit number.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
 def normal_words(line: bytes) -> list[bytes]:
     return line.translate(_NORMAL).split()
 
@@ -58,12 +62,24 @@ def _key(words: list[bytes]) -> bytes:
 
 
 def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """64-bit SimHash of each list of words (none of them empty) over its distinct words."""
+    """64-bit SimHash of each list of words (none of them empty) over its distinct words.
+
+    A bit that half of the words have is that of the word with the least hash.
+    """
     words = Words([b" ".join(dict.fromkeys(line)) for line in lines])
-    ones = np.unpackbits(mix(words.hashes).view(np.uint8).reshape(-1, 8), axis=1)
-    counts = np.add.reduceat(ones, words.bounds[:-1], axis=0, dtype=np.int32)
-    majority = counts * 2 > np.diff(words.bounds)[:, None]
-    return np.packbits(majority, axis=1).view(np.int64).ravel()
+    hashes, first = mix(words.hashes), words.bounds[:-1]
+    sizes = np.diff(words.bounds)
+    # Eight counters of a byte each fit a number; 255 words at a time cannot overflow them.
+    runs = -(-sizes // 255)
+    run_of = np.cumsum(runs) - runs
+    starts = np.repeat(first - 255 * run_of, runs) + 255 * np.arange(runs.sum())
+    lanes = _SPREAD[hashes.view(np.uint8).reshape(-1, 8)]
+    counts = np.add.reduceat(lanes, starts, axis=0).view(np.uint8).reshape(-1, 64)
+    if len(counts) > len(first):
+        counts = np.add.reduceat(counts, run_of, axis=0, dtype=np.int64)
+    twice = counts.astype(np.int64) * 2 - sizes[:, None]
+    tie = _SPREAD[np.minimum.reduceat(hashes, first).view(np.uint8).reshape(-1, 8)].view(np.uint8).reshape(-1, 64)
+    return np.packbits((twice > 0) | ((twice == 0) & (tie == 1)), axis=1, bitorder="little").view(np.int64).ravel()
 
 
 def edit_distance(a: list, b: list, most: int) -> int:
@@ -181,23 +197,22 @@ def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.join(wanted, "key").select("id", "text")
 
 
-def similar_pairs(pairs: DataFrame, items: DataFrame, lines: DataFrame, distance: int, similarity: float) -> DataFrame:
-    """The pairs (``a``, ``b``) within the SimHash distance whose lines are similar."""
-    for side in "ba":
-        pairs = pairs.join(items.select(F.col("id").alias(side), F.col("sim").alias(f"{side}_sim")), side)
-    close = F.bit_count(F.col("a_sim").bitwiseXOR(F.col("b_sim"))) <= distance
-    pairs = stored(pairs.where(close).select("a", "b"), "close-lines")
-    for side in "ba":
-        pairs = pairs.join(lines.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text")), side)
+def _close(a: Column, b: Column, distance: int) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= distance
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = [batch.column(f"{side}_text").to_pylist() for side in "ab"]
-            chosen = [similar(a.split(), b.split(), similarity) for a, b in zip(*sides)]
-            kept = batch.filter(pa.array(chosen, pa.bool_()))
-            yield pa.record_batch([kept.column("a"), kept.column("b")], names=["a", "b"])
 
-    return pairs.mapInArrow(work, "a bigint, b bigint")
+def alike(distance: int, similarity: float):
+    """Test for linking.py: which pairs of normalised lines are within both bounds."""
+
+    def test(one: list[bytes], other: list[bytes]) -> np.ndarray:
+        words = [[line.split() for line in lines] for lines in (one, other)]
+        a, b = (simhashes(lines).view(np.uint64) for lines in words)
+        found = np.bitwise_count(a[:, None] ^ b[None, :]) <= distance
+        for i, j in np.argwhere(found):
+            found[i, j] = similar(words[0][i], words[1][j], similarity)
+        return found
+
+    return test
 
 
 def repeated_lines(docs: DataFrame, blocks: int, intact: int, similarity: float) -> DataFrame:
@@ -214,7 +229,13 @@ def repeated_lines(docs: DataFrame, blocks: int, intact: int, similarity: float)
     members = shared_buckets(items.select("id", F.explode(bucket_keys(blocks, intact)).alias("bucket")))
     wanted = items.join(members.select("id").distinct(), "id").select("id", "key")
     texts = stored(_lines_of(docs, stored(wanted, "line-candidates")), "line-texts")
-    labels = link(members, lambda pairs: similar_pairs(pairs, items, texts, blocks - intact, similarity))
+
+    def close(pairs: DataFrame) -> DataFrame:
+        for side in "ba":
+            pairs = pairs.join(items.select(F.col("id").alias(side), F.col("sim").alias(f"{side}_sim")), side)
+        return pairs.where(_close(F.col("a_sim"), F.col("b_sim"), blocks - intact)).select("a", "b")
+
+    labels = link(members, texts, alike(blocks - intact, similarity), close)
 
     labelled = stored(items.join(labels, "id").select("key", "label", "first"), "labelled-lines")
     firsts = labelled.groupBy("label").agg(F.min("first").alias("stays"))
@@ -239,33 +260,41 @@ def remove_lines(
     extra = [T.StructField("__n_lines", T.LongType()), T.StructField("__n_removed", T.LongType())]
     schema = T.StructType([*docs.schema.fields, *extra])
 
-    def part(wanted: bool):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, texts in text_blocks(batches):
-                keys = _text_keys(texts)
-                if wanted:
-                    batch = batch.append_column("__tkey", pa.array(keys.view(np.int64)))
-                yield batch.filter(pa.array(touched(keys) == wanted))
+    def cut_block(batch: pa.RecordBatch, texts: list[bytes], listed: list) -> pa.RecordBatch:
+        new, counts, removed = [], [], []
+        for text, places in zip(texts, listed):
+            lines = text.split(b"\n")
+            counts.append(sum(1 for line in lines if normal_words(line)))
+            removed.append(len(places or ()))
+            drop = set(places or ())
+            new.append(b"\n".join(x for i, x in enumerate(lines) if i not in drop).decode() if drop else None)
+        column = batch.column("text")
+        kept = [n if r else o for n, r, o in zip(new, removed, column.to_pylist())]
+        columns = [pa.array(kept, column.type) if n == "text" else batch.column(n) for n in names]
+        columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+        return pa.record_batch(columns, names=[*names, "__n_lines", "__n_removed"])
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_blocks(batches):
+            out = touched(_text_keys(texts))
+            rest = [t for t, o in zip(texts, out) if not o]
+            yield cut_block(batch.filter(pa.array(~out)), rest, [None] * len(rest))
 
-        return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *[T.StructField("__tkey", T.LongType())] * wanted]))
+    def maybe_touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_blocks(batches):
+            keys = _text_keys(texts)
+            yield batch.append_column("__tkey", pa.array(keys.view(np.int64))).filter(pa.array(touched(keys)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches):
-            listed = batch.column("__lines").to_pylist() if "__lines" in batch.schema.names else [None] * len(texts)
-            new, counts, removed = [], [], []
-            for text, places in zip(texts, listed):
-                lines = text.split(b"\n")
-                counts.append(sum(1 for line in lines if normal_words(line)))
-                removed.append(len(places or ()))
-                drop = set(places or ())
-                new.append(b"\n".join(x for i, x in enumerate(lines) if i not in drop).decode())
-            column = batch.column("text")
-            kept = [t if t is not None and n else o for t, n, o in zip(new, removed, column.to_pylist())]
-            columns = [pa.array(kept, column.type) if n == "text" else batch.column(n) for n in names]
-            columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
-            yield pa.record_batch(columns, names=[*names, "__n_lines", "__n_removed"])
+            yield cut_block(batch, texts, batch.column("__lines").to_pylist())
 
+    # Only texts from which something may go are moved to the list of what does.
+    with_key = T.StructType([*docs.schema.fields, T.StructField("__tkey", T.LongType())])
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NULL_ID))
     lists = gone.select(F.col("doc").alias("__doc"), F.col("tkey").alias("__tkey"), F.col("lines").alias("__lines"))
-    moved = part(True).withColumn("__doc", key).join(lists, ["__doc", "__tkey"], "left").drop("__doc", "__tkey")
-    return part(False).mapInArrow(cut, schema).unionByName(moved.mapInArrow(cut, schema))
+    moved = (
+        docs.mapInArrow(maybe_touched, with_key).withColumn("__doc", key)
+        .join(lists, ["__doc", "__tkey"], "left").drop("__doc", "__tkey")
+    )
+    return docs.mapInArrow(untouched, schema).unionByName(moved.mapInArrow(cut, schema))
