@@ -66,7 +66,7 @@ def anchors(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
 
 def windows(docs: DataFrame, shared: membership.Filter, length: int, seed: int) -> DataFrame:
-    """Windows whose anchor may stand in several documents."""
+    """Windows whose anchor may stand in several documents; of equal windows of one text the first."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
@@ -74,6 +74,11 @@ def windows(docs: DataFrame, shared: membership.Filter, length: int, seed: int)
             starts, places, seeds = _anchored(words, length, seed)
             _, hashes = words.windows(length)
             chosen = np.flatnonzero(shared(seeds[places]))
+            order = chosen[np.lexsort((hashes[chosen], words.text[starts[chosen]]))]
+            text, same = words.text[starts[order]], hashes[order]
+            first = np.ones(len(order), bool)
+            first[1:] = (text[1:] != text[:-1]) | (same[1:] != same[:-1])
+            chosen = np.sort(order[first])
             starts = starts[chosen]
             text = words.text[starts]
             yield pa.record_batch(
@@ -90,7 +95,8 @@ def windows(docs: DataFrame, shared: membership.Filter, length: int, seed: int)
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """``doc`` and ``starts``: the windows of a document that a smaller document has too."""
+    """``doc`` and ``starts``: the windows of a document that a smaller document has too; of equal
+    windows of one document the first."""
     docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     shared = stored(
         anchors(docs, length, seed)
@@ -111,23 +117,29 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
         found.join(first, ["w", "c"]).where("doc > first").groupBy("doc").agg(F.collect_list("start").alias("starts"))
     )
     out = stored(starts, "repeats")
+    del found, first, starts  # what is still referred to is not released
     release(docs.sparkSession)
     return out
 
 
-def cut(text: bytes, starts: np.ndarray, length: int) -> tuple[int, list[bytes], list[tuple[int, int]]]:
-    """Number of words, the words that stay, and the maximal repeats (first word, words)."""
+def cut(text: bytes, windows_: np.ndarray, first: np.ndarray, length: int) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """The words that stay, and the maximal repeats (first word, words).
+
+    ``windows_`` are the hashes of all windows of the text, ``first`` the places of those to
+    remove; windows equal to these go too.
+    """
     words = text.split()
-    if not len(starts):
-        return len(words), words, []
+    first = first[first < len(windows_)]
+    if not len(first):
+        return words, []
+    starts = np.flatnonzero(np.isin(windows_, windows_[first]))
     step = np.zeros(len(words) + 1, np.int64)
-    starts = starts[starts + length <= len(words)]
     np.add.at(step, starts, 1)
     np.add.at(step, starts + length, -1)
     covered = np.cumsum(step[:-1]) > 0
     edges = np.flatnonzero(np.diff(np.concatenate([[0], covered, [0]]).astype(np.int8)))
     spans = [(int(a), int(b - a)) for a, b in zip(edges[::2], edges[1::2])]
-    return len(words), [words[i] for i in np.flatnonzero(~covered)], spans
+    return [words[i] for i in np.flatnonzero(~covered)], spans
 
 
 def remove_repeats(
@@ -146,12 +158,18 @@ def remove_repeats(
     def result(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32())]))
         for batch, texts in blocks(batches):
-            starts = batch.column("starts") if "starts" in batch.schema.names else None
+            listed = batch.column("starts") if "starts" in batch.schema.names else None
+            if listed is not None:
+                words = Words(texts)
+                at, hashes = words.windows(length)
+                begins = np.searchsorted(at, words.bounds)
             counts, shas, spans, kept_texts = [], [], [], []
             for i, text in enumerate(texts):
-                own = starts[i].values if starts is not None and starts[i].is_valid else None
-                own = own.to_numpy(zero_copy_only=False) if own is not None else np.empty(0, np.int32)
-                n, kept, removed = cut(text, own, length)
+                kept, removed = text.split(), []
+                n = len(kept)
+                if listed is not None and listed[i].is_valid:
+                    own = listed[i].values.to_numpy(zero_copy_only=False)
+                    kept, removed = cut(text, hashes[begins[i] : begins[i + 1]], own, length)
                 joined = b" ".join(kept)
                 counts.append((n, n - len(kept)))
                 shas.append(hashlib.sha256(joined).hexdigest())
@@ -170,13 +188,12 @@ def remove_repeats(
                 columns, names = [*columns, pa.array(kept_texts, pa.string())], [*names, "text"]
             yield pa.record_batch(columns, names=names)
 
-    def part(wanted: bool):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(touched(_ids(batch)) == wanted))
-
-        return docs.mapInArrow(work, "doc_id bigint, text string")
+    def chosen(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(touched(_ids(batch)) == wanted))
 
     # Only texts from which something may go are moved to their starts.
-    moved = part(True).withColumn("doc", F.coalesce("doc_id", F.lit(_NULL_ID))).join(found, "doc", "left").drop("doc")
-    return part(False).mapInArrow(result, schema).unionByName(moved.mapInArrow(result, schema))
+    maybe = docs.mapInArrow(lambda batches: chosen(batches, True), "doc_id bigint, text string")
+    moved = maybe.withColumn("doc", F.coalesce("doc_id", F.lit(_NULL_ID))).join(found, "doc", "left").drop("doc")
+    rest = docs.mapInArrow(lambda batches: result(chosen(batches, False)), schema)
+    return rest.unionByName(moved.mapInArrow(result, schema))
