@@ -29,7 +29,7 @@ UNDETERMINED = "und"
 SAMPLE_ROWS = 256
 DICTIONARY_BYTES = 65_536
 BLOCK = 4096
-LEVEL = 3
+LEVEL = 6
 MIN_MARGIN = 0.02
 # Sharpness of the score: code lengths differ by some hundredths of a bit per byte of text.
 _SHARPNESS = 20.0
