@@ -111,7 +111,9 @@ def link(members: DataFrame, texts: DataFrame, test: Test, close: Callable[[Data
         "bucket", "id", "hub", F.coalesce("label", "id").alias("label")
     )
     arena = F.max(F.when(F.col("id") == F.col("hub"), F.col("label"))).alias("arena")
-    unlike = at.groupBy("bucket").agg(arena, F.min("label").alias("l"), F.max("label").alias("m")).where("l < m")
+    classes = [F.min("label").alias("l"), F.max("label").alias("m"), F.count(F.lit(1)).alias("n")]
+    # The one pair of a bucket of two has been tested.
+    unlike = at.groupBy("bucket").agg(arena, *classes).where("l < m AND n > 2")
     arenas = stored(at.join(stored(unlike, "open"), "bucket").select("arena", "id", "label").distinct(), "arena-members")
     release(members.sparkSession)
     more = stored(_tested_in_blocks(arenas, texts, test), "links")
