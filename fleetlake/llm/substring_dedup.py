@@ -109,10 +109,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     filter_ = membership.build(shared, "anchor")
     release(docs.sparkSession)
     found = windows(docs, filter_, length, seed)
-    first = (
-        found.groupBy("w", "c").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-        .where("first < last").select("w", "c", "first")
-    )
+    first = found.groupBy("w", "c").agg(F.min("doc").alias("first"))
     starts = (
         found.join(first, ["w", "c"]).where("doc > first").groupBy("doc").agg(F.collect_list("start").alias("starts"))
     )
@@ -150,6 +147,7 @@ def remove_repeats(
     docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     found = repeats(docs, length, seed)
     touched = membership.build(found.select("doc"), "doc")
+    release(docs.sparkSession)  # Spark keeps a step's shuffle until a later one has run
     schema = (
         "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string,"
         " spans array<struct<first:int,words:int>>" + ", text string" * with_text
