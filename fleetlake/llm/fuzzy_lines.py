@@ -1,15 +1,19 @@
 """Fuzzy line deduplication by SimHash (free style: Arrow batches and joins).
 
 Lines are cut at newlines and normalised: A-Z in lower case, digits to 0, ASCII punctuation to
-space, words joined by one space. Equal normalised lines are one item. An item's SimHash has 64
-bits over its distinct words. Two items are linked when their SimHashes differ in at most
-``blocks - intact`` bits and the edit similarity of their words (1 - edit distance / words of the
-longer) is at least ``similarity``.
-
-Pigeonhole: the SimHash is cut into ``blocks`` blocks; whatever the bits in which two differ,
-``intact`` blocks are equal. Each choice of ``intact`` blocks is a bucket key, so every pair
-within the distance shares a bucket. More intact blocks make more selective keys for more lines:
-4 and 2 give keys of 32 bits, 5 and 3 give 38 bits.
+space, words joined by one space. Equal normalised lines are one item. Two items are linked when
+the edit similarity of their words (1 - edit distance / words of the longer) is at least
+``similarity``. No other bound holds: SimHashes and runs of words only say which items meet.
+
+Which items meet: an item's SimHash has 64 bits over its distinct words, cut into ``blocks``
+blocks; each choice of ``intact`` blocks is a bucket key. That finds lines with close SimHashes;
+one word in ten changed moves some 9 bits, so most near lines are farther apart. All of them meet by
+runs of ``k`` words: a line's distinct runs are put in an order that is the same for all lines, and
+the first ones are keys, until ``e + 1`` of them lie apart, if the line may have ``e`` edits. The
+first run in that order which two near lines share is then among the keys of both: the runs before
+it are all broken, and ``e`` edits cannot break ``e + 1`` runs that lie apart. Near lines do share
+one (``run_length``). Runs that are frequent in a sample come last in that order, which keeps
+buckets small; the sample changes no result. Lines too short for an edit have no near line.
 
 Of every connected group one occurrence stays: the first by doc_id and place. Lines without a
 word always stay.
@@ -25,11 +29,12 @@ from __future__ import annotations
 import hashlib
 import itertools
 import string
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +46,9 @@ from fleetlake.llm.text import Words, mix
 
 BLOCKS, INTACT = 4, 2
 SIMILARITY = 0.9
+RUN = 4  # words
+# Items looked at for frequent runs, and how many of those every task knows.
+SAMPLE, FREQUENT = 200_000, 200_000
 _NULL_ID = -(1 << 63)
 _PUNCTUATION = string.punctuation.encode()
 _NORMAL = bytes.maketrans(
@@ -124,6 +132,68 @@ def similar(a: list, b: list, similarity: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
+def most_edits(n_words: int, similarity: float) -> int:
+    """Edits to the longest line that may be near one of ``n_words``."""
+    return int(int(n_words / similarity + 1e-9) * (1 - similarity) + 1e-9)
+
+
+def run_length(similarity: float) -> int:
+    """Words of a run, at most ``RUN``, such that any two near lines that differ share one.
+
+    A line of ``n`` words has ``n - k + 1`` runs and loses ``k`` an edit, at most
+    ``(1 - similarity) * n`` times; one stays if ``2 * k <= 1 / (1 - similarity)``.
+    """
+    if not 0.5 <= similarity < 1:
+        raise ValueError("similarity must be at least 0.5 and below 1")
+    return min(RUN, int(0.5 / (1 - similarity) + 1e-9))
+
+
+def parities(words: Words) -> np.ndarray:
+    """64 bits of each text: whether an odd number of its words fall on the bit.
+
+    An edit changes at most two of them.
+    """
+    bits = np.uint64(1) << (mix(words.hashes) & np.uint64(63))
+    return np.bitwise_xor.reduceat(bits, words.bounds[:-1])
+
+
+def first_runs(texts: list[bytes], similarity: float, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the text and hash of the runs by which it meets its near lines.
+
+    ``frequent``: hashes of runs, the most frequent one last.
+    """
+    k = run_length(similarity)
+    words = Words(texts)
+    starts, runs = words.windows(k)
+    owner = words.text[starts]
+    rank = np.zeros(len(runs), np.int64)
+    if len(frequent):
+        order = np.argsort(frequent)
+        at = order[np.searchsorted(frequent, runs, sorter=order).clip(max=len(frequent) - 1)]
+        rank = np.where(frequent[at] == runs, at + 1, 0)
+    order = np.lexsort((starts, runs, rank, owner))
+    owner, runs, starts = owner[order], runs[order], starts[order]
+    new = np.ones(len(runs), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (runs[1:] != runs[:-1])
+    owner, runs, starts = owner[new], runs[new], (starts[new] - words.bounds[owner[new]]).tolist()
+    taken = np.zeros(len(owner), bool)
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
+    for i, n in enumerate(np.diff(words.bounds).tolist()):
+        edits = most_edits(n, similarity)
+        if not edits:
+            continue
+        covered, apart, at = bytearray(n + k), 0, bounds[i]
+        while at < bounds[i + 1] and apart <= edits:
+            start = starts[at]
+            # A run's ends tell whether it overlaps another of the same length.
+            if not covered[start] and not covered[start + k - 1]:
+                covered[start : start + k] = b"\1" * k
+                apart += 1
+            at += 1
+        taken[bounds[i] : at] = True
+    return owner[taken], runs[taken]
+
+
 def _doc(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc_id").fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
 
@@ -133,7 +203,8 @@ def _text_keys(texts: list[bytes]) -> np.ndarray:
 
 
 def signed_lines(docs: DataFrame) -> DataFrame:
-    """A row for every line with a word: its document (``doc``, ``tkey``), place, key, SimHash."""
+    """A row for every line with a word: its document (``doc``, ``tkey``), place, key, SimHash,
+    number of words and parities."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches):
@@ -149,6 +220,7 @@ def signed_lines(docs: DataFrame) -> DataFrame:
             if not keys:
                 continue
             sim = dict(zip(seen, simhashes(list(seen.values())).tolist()))
+            odd = dict(zip(seen, parities(Words([b" ".join(w) for w in seen.values()])).view(np.int64).tolist()))
             yield pa.record_batch(
                 [
                     pa.array(_doc(batch)[owner]),
@@ -156,11 +228,14 @@ def signed_lines(docs: DataFrame) -> DataFrame:
                     pa.array(place, pa.int32()),
                     pa.array(keys, pa.binary()),
                     pa.array([sim[k] for k in keys], pa.int64()),
+                    pa.array([len(seen[k]) for k in keys], pa.int64()),
+                    pa.array([odd[k] for k in keys], pa.int64()),
                 ],
-                names=["doc", "tkey", "line", "key", "sim"],
+                names=["doc", "tkey", "line", "key", "sim", "n", "odd"],
             )
 
-    return docs.mapInArrow(work, "doc bigint, tkey bigint, line int, key binary, sim bigint")
+    schema = "doc bigint, tkey bigint, line int, key binary, sim bigint, n bigint, odd bigint"
+    return docs.mapInArrow(work, schema)
 
 
 def _block_masks(blocks: int) -> list[int]:
@@ -192,24 +267,52 @@ def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.binary())], names=["key", "text"]
             )
 
-    # Equal lines are one row per task before they meet.
-    rows = docs.mapInArrow(work, "key binary, text binary").groupBy("key", "text").agg(F.count(F.lit(1)).alias("n"))
+    # Equal lines are one row per task before they meet; by key alone, so the join moves no text again.
+    rows = docs.mapInArrow(work, "key binary, text binary").groupBy("key").agg(F.any_value("text").alias("text"))
     return rows.join(wanted, "key").select("id", "text")
 
 
-def _close(a: Column, b: Column, distance: int) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)) <= distance
+def frequent_runs(texts: DataFrame, n_items: int, similarity: float) -> np.ndarray:
+    """Hashes of the most frequent runs of a sample of the lines, the most frequent one last."""
+    part = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, SAMPLE / max(1, n_items))))
+    k = run_length(similarity)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, lines in text_blocks(batches):
+            yield pa.record_batch([pa.array(Words(lines).windows(k)[1].view(np.int64))], names=["run"])
+
+    counts = texts.where(part).select(F.col("text").cast("string")).mapInArrow(work, "run bigint").groupBy("run").count().where("count > 3")
+    found = counts.orderBy(F.desc("count"), "run").limit(FREQUENT).toArrow()
+    return found.column("run").to_numpy().view(np.uint64)[::-1].copy()
+
 
+def run_buckets(texts: DataFrame, frequent: np.ndarray, similarity: float) -> DataFrame:
+    """``id`` and ``bucket`` of every run by which a line meets its near lines."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, lines in text_blocks(batches):
+            owner, runs = first_runs(lines, similarity, shared.value)
+            ids = batch.column("id").to_numpy()[owner]
+            yield pa.record_batch([pa.array(ids), pa.array(runs.view(np.int64))], names=["id", "bucket"])
+
+    return texts.select("id", F.col("text").cast("string")).mapInArrow(work, "id bigint, bucket bigint")
 
-def alike(distance: int, similarity: float):
-    """Test for linking.py: which pairs of normalised lines are within both bounds."""
+
+def alike(similarity: float):
+    """Test for linking.py: which pairs of normalised lines are near."""
 
     def test(one: list[bytes], other: list[bytes]) -> np.ndarray:
         words = [[line.split() for line in lines] for lines in (one, other)]
-        a, b = (simhashes(lines).view(np.uint64) for lines in words)
-        found = np.bitwise_count(a[:, None] ^ b[None, :]) <= distance
+        bags = [[Counter(line) for line in lines] for lines in words]
+        m, n = (np.array([len(line) for line in lines]) for lines in words)
+        a, b = (parities(Words(lines)) for lines in (one, other))
+        most = (np.maximum(m[:, None], n[None, :]) * (1 - similarity) + 1e-9).astype(np.int64)
+        found = abs(m[:, None] - n[None, :]) <= most
+        found &= np.bitwise_count(a[:, None] ^ b[None, :]) <= 2 * most
         for i, j in np.argwhere(found):
-            found[i, j] = similar(words[0][i], words[1][j], similarity)
+            common = sum((bags[0][i] & bags[1][j]).values())
+            found[i, j] = common >= max(m[i], n[j]) - most[i, j] and similar(words[0][i], words[1][j], similarity)
         return found
 
     return test
@@ -221,28 +324,40 @@ def repeated_lines(docs: DataFrame, blocks: int, intact: int, similarity: float)
     at = F.struct("doc", "tkey", "line")
     items = stored(
         lines.groupBy("key")
-        .agg(F.min(at).alias("first"), F.max(at).alias("last"), F.min("sim").alias("sim"))
+        .agg(
+            F.min(at).alias("first"), F.max(at).alias("last"),
+            *[F.min(c).alias(c) for c in ("sim", "n", "odd")],
+        )
         .withColumn("id", F.monotonically_increasing_id()),
         "line-items",
-    )
+    )
+    release(docs.sparkSession)
+    shortest = next(n for n in itertools.count(1) if most_edits(n, similarity))
+    wanted = stored(items.where(F.col("n") >= shortest).select("id", "key", "sim"), "line-candidates")
+    texts = stored(_lines_of(docs, wanted.select("id", "key")), "line-texts")
     release(docs.sparkSession)
-    members = shared_buckets(items.select("id", F.explode(bucket_keys(blocks, intact)).alias("bucket")))
-    wanted = items.join(members.select("id").distinct(), "id").select("id", "key")
-    texts = stored(_lines_of(docs, stored(wanted, "line-candidates")), "line-texts")
+    by_run = run_buckets(texts, frequent_runs(texts, wanted.count(), similarity), similarity)
+    by_sim = wanted.select("id", F.explode(bucket_keys(blocks, intact)).alias("bucket"))
+    members = shared_buckets(by_run.unionByName(by_sim), filtered=True)
 
     def close(pairs: DataFrame) -> DataFrame:
         for side in "ba":
-            pairs = pairs.join(items.select(F.col("id").alias(side), F.col("sim").alias(f"{side}_sim")), side)
-        return pairs.where(_close(F.col("a_sim"), F.col("b_sim"), blocks - intact)).select("a", "b")
+            of = [F.col("id").alias(side), F.col("n").alias(f"{side}_n"), F.col("odd").alias(f"{side}_odd")]
+            pairs = pairs.join(items.select(*of), side)
+        most = F.floor(F.greatest("a_n", "b_n") * F.lit(1 - similarity) + F.lit(1e-9))
+        near = (F.abs(F.col("a_n") - F.col("b_n")) <= most) & (
+            F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * most
+        )
+        return pairs.where(near).select("a", "b")
 
-    labels = link(members, texts, alike(blocks - intact, similarity), close)
+    labels = link(members, texts, alike(similarity), close)
 
     labelled = stored(items.join(labels, "id").select("key", "label", "first"), "labelled-lines")
     firsts = labelled.groupBy("label").agg(F.min("first").alias("stays"))
     grouped = labelled.join(firsts, "label").select("key", "stays")
     alone = items.where("first < last").join(labels, "id", "left_anti").select("key", F.col("first").alias("stays"))
     stays = stored(grouped.unionByName(alone), "stays")
-    gone = lines.join(stays, "key").where(at != F.col("stays"))
+    gone = lines.select("doc", "tkey", "line", "key").join(stays, "key").where(at != F.col("stays"))
     out = stored(gone.groupBy("doc", "tkey").agg(F.collect_set("line").alias("lines")), "lines-to-remove")
     release(docs.sparkSession)
     return out

@@ -19,6 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.llm import membership
 from fleetlake.llm.common import release, stored
 from fleetlake.llm.components import components
 
@@ -28,21 +29,32 @@ BLOCK = 128
 Test = Callable[[list[bytes], list[bytes]], np.ndarray]
 
 
-def shared_buckets(buckets: DataFrame) -> DataFrame:
+def shared_buckets(buckets: DataFrame, filtered: bool = False) -> DataFrame:
     """Stored rows (``bucket``, ``id``, ``hub``) of buckets with several members.
 
-    ``buckets`` (``bucket``, ``id``: both bigint, rows distinct) is computed twice.
+    ``buckets`` (``bucket``, ``id``: both bigint, rows distinct) is computed twice. ``filtered``:
+    where most buckets have one member, those are left out before rows are moved again.
     """
     several = stored(
         buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "several",
     )
     release(buckets.sparkSession)
+    if filtered:
+        buckets = _filtered(buckets, membership.build(several, "bucket"))
     members = stored(buckets.join(several, "bucket").select("bucket", "id", "hub"), "members")
     release(buckets.sparkSession)
     return members
 
 
+def _filtered(buckets: DataFrame, may_have: membership.Filter) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_have(batch.column("bucket").to_numpy())))
+
+    return buckets.select("bucket", "id").mapInArrow(work, "bucket bigint, id bigint")
+
+
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     for side in "ba":
         pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text")), side)
