@@ -8,8 +8,8 @@ whatever the vocabulary, and its probabilities over all possible tokens of a cla
 
 Training: token counts of all training documents; then Baum-Welch rounds. In a round every task
 runs the scaled forward-backward recursion over its documents, many of them side by side, and
-emits expected counts per class; Spark sums them across partitions. Documents are cut into
-segments of ``SEGMENT`` tokens for training, which bounds a task's memory.
+emits expected counts per class; Spark sums them across partitions. Documents are gone through in
+segments of ``SEGMENT`` tokens, which bounds a task's memory; the recursion runs across them.
 Scoring: the scaled forward recursion over whole documents, in log10.
 
 Counts of tokens beyond the ``DICTIONARY`` most frequent are never sent to the tasks as a whole:
@@ -295,34 +295,50 @@ class Expectations:
         self.emit = np.zeros_like(model.emit)
         self.likelihood = 0.0
 
+    def _forward(self, chains: list[np.ndarray], at: int, before: np.ndarray | None):
+        """Scaled forward states of the segment at ``at``, after those of the step before it."""
+        model = self.model
+        steps, active = _side_by_side([c[at : at + SEGMENT] for c in chains if len(c) > at])
+        seen = model.emit[steps]  # [step, chain, state]
+        alpha, scale = np.empty(seen.shape), np.ones(steps.shape)
+        for t, k in enumerate(active):
+            prior = alpha[t - 1, :k] if t else before
+            now = (model.start if prior is None else prior[:k] @ model.move) * seen[t, :k]
+            scale[t, :k] = now.sum(axis=1)
+            alpha[t, :k] = now / scale[t, :k, None]
+        return steps, active, seen, alpha, scale
+
     def add(self, chains: list[np.ndarray]) -> None:
-        """``chains``: of falling length."""
+        """``chains``: of falling length. Of long ones only the states at the borders of segments
+        are kept on the way forward; a segment's are computed again on the way back."""
         model, states = self.model, len(self.model.start)
-        steps, active = _side_by_side(chains)
-        n_steps, n = steps.shape
-        seen = model.emit[steps]  # [step, chain, state]
-        alpha, scale = np.empty((n_steps, n, states)), np.ones((n_steps, n))
-        for t in range(n_steps):
-            k = active[t]
-            now = model.start * seen[t, :k] if t == 0 else (alpha[t - 1, :k] @ model.move) * seen[t, :k]
-            total = now.sum(axis=1)
-            scale[t, :k] = total
-            alpha[t, :k] = now / total[:, None]
-            self.likelihood += float(np.log(total).sum())
-        beta = np.ones((n, states))
-        weights = np.zeros((n_steps, n, states))
-        for t in range(n_steps - 1, -1, -1):
-            k = active[t]
-            weights[t, :k] = alpha[t, :k] * beta[:k]
-            if t:
-                back = seen[t, :k] * beta[:k] / scale[t, :k, None]
-                self.move += (alpha[t - 1, :k].T @ back) * model.move
-                # A chain whose last step is t - 1 still has the ones it began with.
-                beta[:k] = back @ model.move.T
-        self.start += weights[0].sum(axis=0)
-        flat, used = steps.ravel(), weights.reshape(-1, states)
-        for s in range(states):
-            self.emit[:, s] += np.bincount(flat, used[:, s], minlength=len(self.emit))
+        places = range(0, len(chains[0]), SEGMENT)
+        befores, part = [None], None
+        for at in places:
+            part = self._forward(chains, at, befores[-1])
+            self.likelihood += float(np.log(part[4]).sum())
+            befores.append(part[3][-1].copy())
+        beta = np.ones((len(chains), states))
+        for place in range(len(places) - 1, -1, -1):
+            before = befores[place]
+            if place < len(places) - 1:
+                part = self._forward(chains, places[place], before)
+            steps, active, seen, alpha, scale = part
+            weights = np.zeros(alpha.shape)
+            for t in range(len(active) - 1, -1, -1):
+                k = active[t]
+                weights[t, :k] = alpha[t, :k] * beta[:k]
+                prior = alpha[t - 1] if t else before
+                if prior is not None:
+                    back = seen[t, :k] * beta[:k] / scale[t, :k, None]
+                    self.move += (prior[:k].T @ back) * model.move
+                    # A chain whose last step is earlier still has the ones it began with.
+                    beta[:k] = back @ model.move.T
+            if before is None:
+                self.start += weights[0].sum(axis=0)
+            flat, used = steps.ravel(), weights.reshape(-1, states)
+            for s in range(states):
+                self.emit[:, s] += np.bincount(flat, used[:, s], minlength=len(self.emit))
 
 
 def expected_counts(encoded: DataFrame, model: Model) -> DataFrame:
@@ -334,6 +350,7 @@ def expected_counts(encoded: DataFrame, model: Model) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Expectations(shared.value)
         waiting: list[np.ndarray] = []
+        tokens = 0
 
         def run(chains):
             chains.sort(key=len, reverse=True)
@@ -343,10 +360,11 @@ def expected_counts(encoded: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for data in batch.column("classes").to_pylist():
                 chain = np.frombuffer(data, "<u2")
-                waiting += [chain[at : at + SEGMENT] for at in range(0, len(chain), SEGMENT)]
-                if len(waiting) >= 8 * SIDE_BY_SIDE:
+                waiting.append(chain)
+                tokens += len(chain)
+                if len(waiting) >= 8 * SIDE_BY_SIDE or tokens >= 8 * SIDE_BY_SIDE * SEGMENT:
                     run(waiting)
-                    waiting = []
+                    waiting, tokens = [], 0
         run(waiting)
         used = np.flatnonzero(sums.emit.any(axis=1))
         rest = np.vstack([sums.move, sums.start, np.full(states, sums.likelihood)])
