@@ -43,6 +43,20 @@ class Storage:
                 found.add(file.getParent().toString().rstrip("/").removeprefix(root).strip("/"))
         return {d for d in found if not any(p[0] in "_." and "=" not in p for p in d.split("/") if p)}
 
+    def hidden_files(self, path: str, suffix: str) -> list[str]:
+        """Full paths of the files below ``path`` that end so and that Spark's listing passes over,
+        because their name or a folder's begins with "_" or "."."""
+        root = self.qualified(path)
+        fs, hadoop_path = self._open(path)
+        found: list[str] = []
+        walker = fs.listFiles(hadoop_path, True)
+        while walker.hasNext():
+            file = walker.next().getPath().toString()
+            parts = file.removeprefix(root).strip("/").split("/")
+            if file.endswith(suffix) and any(p[0] in "_." and "=" not in p for p in parts if p):
+                found.append(file)
+        return sorted(found)
+
     def names(self, path: str, suffix: str = "") -> list[str]:
         """Names directly under a directory; empty when it does not exist."""
         fs, hadoop_path = self._open(path)

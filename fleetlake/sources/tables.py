@@ -18,22 +18,27 @@ def has_parquet(spark: SparkSession, path: str) -> bool:
 
 
 def read_tree(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False, hidden: bool = False
 ) -> DataFrame:
     """Every ``.parquet`` file below ``path``, however the folders are nested.
 
     A tree of ``key=value`` folders alone is read with Spark's partition discovery, so filters
     on the keys prune folders. Where plain folders occur, Spark's discovery would pass over
-    files; such a tree is read file by file, and the keys come from the paths as text.
+    files; such a tree is read file by file, and the keys come from the paths as text. So is one
+    with hidden files, if ``hidden`` asks for them.
     """
     reader = spark.read.option("pathGlobFilter", f"*{_SUFFIX}")
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", str(merge).lower())
-    folders = Storage(spark).directories(path, _SUFFIX)
+    storage = Storage(spark)
+    folders = storage.directories(path, _SUFFIX)
+    more = storage.hidden_files(path, _SUFFIX) if hidden else []
+    below = storage.qualified(path)
+    folders |= {f.removeprefix(below).strip("/").rpartition("/")[0] for f in more}
     parts = [d.split("/") if d else [] for d in folders]
     levels = {tuple(p.partition("=")[0] for p in d) for d in parts}
-    if all("=" in p for d in parts for p in d) and len(levels) <= 1:
+    if not more and all("=" in p for d in parts for p in d) and len(levels) <= 1:
         return reader.parquet(path)
-    table = reader.option("recursiveFileLookup", "true").parquet(path)
+    table = reader.option("recursiveFileLookup", "true").parquet(path, *more)
     keys = sorted({p.partition("=")[0] for d in parts for p in d if "=" in p})
     types = {f.name: f.dataType for f in table.schema.fields}
     for key in keys:
@@ -64,12 +69,12 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 def read_for_scan(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
-    """Every Parquet file below ``path``, columns merged over the files; None without files.
+    """Every Parquet file below ``path``, hidden ones too, columns merged over the files; None without files.
 
     Merging reads all footers, in a Spark job; pass ``schema`` where it is known.
     """
     if not Storage(spark).exists(path):
         raise FileNotFoundError(f"Data directory not found: {path}")
-    if not has_parquet(spark, path):
+    if not Storage(spark).has_file(path, _SUFFIX):
         return None
-    return read_tree(spark, path, schema, merge=True)
+    return read_tree(spark, path, schema, merge=True, hidden=True)
