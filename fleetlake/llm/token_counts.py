@@ -2,7 +2,8 @@
 
 A text is cut into pre-tokens by the vocabulary's pattern. Every distinct pre-token is put into
 a trie; the forward recursion of the unigram model (best score of any segmentation of a prefix)
-is a property of a trie node, so it is computed once for all pre-tokens that share the prefix.
+is a property of a trie node, so it is computed once for the pre-tokens of a slice of 500 texts that
+share the prefix; later slices compute it anew for new pre-tokens.
 The node a pre-token ends in stores its number of tokens.
 
 Sorting the new pre-tokens makes the walk over the trie a stack: the nodes of the common prefix
