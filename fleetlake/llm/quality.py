@@ -165,7 +165,7 @@ def _all(conditions: list[Column]) -> Column:
 def learn_rules(
     labelled: DataFrame,
     n_bins: int = 32,
-    max_rules: int = 12,
+    max_rules: int | None = None,
     max_literals: int = 3,
     min_precision: float = 0.9,
     min_covered: int = 5,
@@ -193,7 +193,7 @@ def learn_rules(
     )
     rules: list[Rule] = []
     free = F.lit(True)
-    while len(rules) < max_rules:
+    while max_rules is None or len(rules) < max_rules:
         literals = _grow(cells.where(F.col("__grow") & free), names, cuts, max_literals)
         literals, p, n = _prune(cells.where(~F.col("__grow") & free), literals)
         if not literals or p + n < min_covered or (p + 1) / (p + n + 2) < min_precision:
