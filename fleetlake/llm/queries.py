@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm import (
     bagminhash,
+    centroid_clustering,
     exact_dedup,
+    fill_in_middle,
     fuzzy_lines,
     hmm,
     language,
     mixing,
     packing,
     quality,
+    secret_scan,
     sql,
     substring_dedup,
     token_counts,
@@ -114,6 +117,36 @@ def op10_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    spans = F.col("spans")
+    kinds = F.transform(spans, lambda s: s["kind"])
+    ruled = F.filter(spans, lambda s: s["kind"] != "markov")
+    return found.select(
+        "doc_id",
+        *[(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in secret_scan.KINDS],
+        F.sha2(secret_scan.span_text(ruled).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.span_text(spans).alias("spans"),
+    )
+
+
+def op13_equal_average_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_hierarchical_mixing": op1_hierarchical_mixing,
     "op2_learned_decision_list": op2_learned_decision_list,
@@ -125,6 +158,9 @@ _QUERIES: dict[str, Query] = {
     "op8_simhash_lines": op8_simhash_lines,
     "op9_compression_language_id": op9_compression_language_id,
     "op10_trie_token_counts": op10_trie_token_counts,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_markov_secret_scan": op12_markov_secret_scan,
+    "op13_equal_average_clustering": op13_equal_average_clustering,
 }
 
 _SQL: dict[str, str] = {
@@ -133,6 +169,8 @@ _SQL: dict[str, str] = {
     "op1_hierarchical_mixing": sql.mixing(
         MIX_LEVELS_SQL, MIX_WEIGHTS, MIX_BUDGET_SHARE, MIX_EPOCHS, MIX_SEED
     ),
+    "op11_fill_in_middle": sql.FILL_IN_MIDDLE,
+    "op13_equal_average_clustering": sql.clustering(),
 }
 
 

@@ -86,3 +86,64 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n
        sha256(array_to_string(k, ' ')) AS kept_sha256
 FROM kept
 """
+
+FILL_IN_MIDDLE = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (SELECT doc_id, text, u, len(u) AS n,
+             CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS a,
+             CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS b,
+             CASE WHEN text = '' OR text LIKE '%<P>%' OR text LIKE '%<S>%' OR text LIKE '%<M>%' THEN 'plain'
+                  WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT doc_id, text, n, form,
+             coalesce(array_to_string(list_slice(u, 1, least(a, b)), ''), '') AS prefix,
+             coalesce(array_to_string(list_slice(u, least(a, b) + 1, greatest(a, b)), ''), '') AS middle,
+             coalesce(array_to_string(list_slice(u, greatest(a, b) + 1, n), ''), '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def clustering(k: int = 40, rounds: int = 5, seed: int = 2, dimensions: int = 64, table: str = "embeddings") -> str:
+    """All distances in every round, where the operator searches."""
+    steps = [
+        f"v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x:"
+        f" CAST(greatest(-4194304, least(4194304, floor(256 * CAST(x AS DOUBLE)))) AS BIGINT)) AS v FROM {table}"
+        f" WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NOT NULL"
+        f" AND isfinite(CAST(x AS DOUBLE)))) = {dimensions})",
+        f"c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS cluster, v AS c FROM"
+        f" (SELECT v, sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM v ORDER BY h, v LIMIT {k}))",
+    ]
+    distance = (
+        f"CAST(list_sum(list_transform(range(1, {dimensions + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT)"
+    )
+    for r in range(rounds + 1):
+        steps.append(
+            f"a{r} AS MATERIALIZED (SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v,"
+            f" min(struct_pack(d := {distance}, k := cluster)) AS best"
+            f" FROM (SELECT *, row_number() OVER () AS row FROM v) CROSS JOIN c{r} GROUP BY row)"
+        )
+        if r < rounds:
+            # Division rounds towards zero, so the remainder is taken off first.
+            steps.append(
+                f"s{r} AS (SELECT best.k AS cluster, i, sum(v[i]) AS s, count(*) AS n FROM a{r},"
+                f" range(1, {dimensions + 1}) r(i) GROUP BY ALL)"
+            )
+            steps.append(
+                f"m{r} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{r} GROUP BY cluster)"
+            )
+            steps.append(
+                f"c{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(m, c) AS c FROM c{r} LEFT JOIN m{r} USING (cluster))"
+            )
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + f"\nSELECT vec_id, cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY cluster) AS BIGINT)"
+        " AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ','))"
+        f" AS centroid_sha256 FROM a{rounds} JOIN c{rounds} ON cluster = best.k"
+    )
