@@ -1,8 +1,9 @@
 """Regex predicates with RE2 meaning: partial match, case-sensitive, ASCII word boundaries.
 
 The shipped patterns have JVM forms that need linear time and no recursion. Of other patterns
-the plain ones are rewritten for the JVM (re2.py); any other is matched by RE2 itself, in Arrow
-batches, so that a caller's pattern can neither overflow a task's stack nor change its meaning.
+those that leave every place of a text after a few steps are rewritten for the JVM (re2.py); all
+others are matched by RE2 itself, in Arrow batches and together (multipattern.py), so that a
+caller's pattern can neither overflow a task's stack, nor hang a scan, nor change its meaning.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from fleetlake.functions.multipattern import which_match
 from fleetlake.functions.re2 import to_jvm
 
 # The shipped detection patterns.
@@ -116,19 +117,27 @@ def pattern_error(pattern: str) -> str | None:
     return None
 
 
-def matches(c: Column, pattern: str) -> Column:
-    """Null text gives null, as a regex predicate does."""
+def jvm_match(c: Column, pattern: str) -> Column | None:
+    """The predicate as a JVM expression, where its time is in proportion to the text; else None."""
     if pattern in _JVM_FORMS:
         return _JVM_FORMS[pattern](c)
     if not re.search(r"[\\.^$|?*+()\[\]{}]", pattern):
         return F.contains(c, F.lit(pattern))
+    jvm = to_jvm(pattern)
+    return None if jvm is None else c.rlike(jvm)
+
 
-    if (jvm := to_jvm(pattern)) is not None:
-        return c.rlike(jvm)
+def match_all(c: Column, patterns: list[str]) -> list[Column]:
+    """Whether each pattern matches. All that the JVM cannot bound share one pass in Arrow batches."""
+    found = [jvm_match(c, p) for p in patterns]
+    rest = [p for p, m in zip(patterns, found) if m is None]
+    if rest:
+        flags = which_match(c, rest)
+        place = {p: i for i, p in enumerate(rest)}
+        found = [F.get(flags, place[p]) if m is None else m for p, m in zip(patterns, found)]
+    return found
 
-    def re2_match(values):
-        return pc.match_substring_regex(values, pattern)
 
-    # ArrowEvalPython hands over plain Arrow arrays.
-    re2_match.__annotations__ = {"values": pa.Array, "return": pa.Array}
-    return F.arrow_udf(re2_match, T.BooleanType())(c)
+def matches(c: Column, pattern: str) -> Column:
+    """Null text gives null, as a regex predicate does."""
+    return F.when(c.isNotNull(), match_all(c, [pattern])[0])
