@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.operators.validation import validate_messages
-from fleetlake.sinks import ParquetWriteError, write_table, write_unpartitioned
+from fleetlake.plans.quarantine import ingest_split
+from fleetlake.sinks import ParquetWriteError, write_table
 from fleetlake.sources.messages import read_messages
 from fleetlake.sources.storage import Storage
 
@@ -68,17 +69,20 @@ def validation_error(messages: DataFrame) -> BronzeValidationError | None:
     return BronzeValidationError(seen.get["count"], shown)
 
 
-def ingest(messages: DataFrame, output_dir: str, quarantine_dir: str | None = None, **write_options):
+def ingest(
+    messages: DataFrame,
+    output_dir: str,
+    quarantine_dir: str | None = None,
+    batch_id: str | None = None,
+    **write_options,
+):
     """Validate a batch of raw messages and write it; returns the write statistics.
 
     A batch with an invalid message is refused as a whole, unless ``quarantine_dir`` names a
-    place for such messages and their errors.
+    place for such messages and their errors (quarantine.py).
     """
     if quarantine_dir is not None:
-        validated = validate_messages(messages, keep=["raw"])
-        fine = F.size("errors") == 0
-        write_unpartitioned(validated.filter(~fine).select("raw", "errors"), quarantine_dir)
-        return write_table(validated.filter(fine).drop("raw", "errors"), output_dir, **write_options)
+        return ingest_split(messages, output_dir, quarantine_dir, batch_id, **write_options)
     try:
         return write_table(gate(validate_messages(messages)), output_dir, **write_options)
     except Exception as error:
@@ -112,6 +116,8 @@ def run_bronze(
     if not storage.exists(landing_path):
         raise FileNotFoundError(f"Landing path not found: {landing_path}")
     stats = ingest(read_messages(spark, landing_path, layout, amount), output_dir, **write_options)
+    if write_options.get("quarantine_dir") is not None:
+        zeros["messages_quarantined"] = stats.quarantined
     if stats.rows == 0:
         return zeros
     return {

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions.text import pad2
+from fleetlake.sources.listing import files_in
 from fleetlake.sources.storage import Storage
 
 # Default layout, codec names, size cap and the assumed size of a row.
@@ -19,7 +19,6 @@ DATE_HOUR = ["date", "hour"]
 CODECS = ["lz4", "uncompressed", "snappy", "gzip", "lzo", "brotli", "zstd"]
 MAX_FILE_SIZE_MB = 125.0
 BYTES_PER_ROW = 1_000
-LISTING_THREADS = 16
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Characters a partition directory name holds as %XX.
@@ -117,10 +116,8 @@ def write_table(
         .partitionBy(*keys)
         .parquet(path)
     )
-    storage = Storage(df.sparkSession)
     touched = ["/".join(_directory(k, v) for k, v in zip(keys, p)) for p in seen.get["partitions"]]
-    with ThreadPoolExecutor(LISTING_THREADS) as pool:
-        files = sum(pool.map(lambda d: len(storage.names(f"{path}/{d}", ".parquet")), touched))
+    files = len(files_in(df.sparkSession, [f"{path}/{d}" for d in touched]))
     return WriteStats(seen.get["rows"], files, len(touched), _elapsed_ms(started))
 
 
@@ -135,8 +132,8 @@ def write_unpartitioned(
 ) -> WriteStats:
     """Replace ``path`` by a directory of Parquet parts: one part while the data is small.
 
-    An empty frame leaves nothing behind. ``keep_order`` leaves out the rebalancing of parts,
-    for sorted results.
+    An empty frame writes nothing: the statistics are zero, and what an earlier write left at
+    ``path`` stays. ``keep_order`` leaves out the rebalancing of parts, for sorted results.
     """
     _check_codec(compression)
     started = time.time()

@@ -2,11 +2,15 @@ import json
 
 import pytest
 
-from fleetlake.plans.bronze import BronzeValidationError, run_bronze
+from fleetlake.plans import quarantine
+from fleetlake.plans.bronze import BronzeValidationError, ingest, run_bronze
 from fleetlake.plans.pipeline import run_pipeline
+from fleetlake.plans.quarantine import Quarantine
 from fleetlake.plans.silver import run_silver
 from fleetlake.session import shared_folder
+from fleetlake.sinks import ParquetWriteError
 from fleetlake.sources.messages import read_messages
+from fleetlake.sources.storage import Storage
 
 
 def message(i, **other):
@@ -47,11 +51,79 @@ def test_positions_over_several_files(spark, tmp_path, folder):
 def test_quarantine(spark, tmp_path, folder):
     landing = land(tmp_path, [message(i, **({"velocity": -1} if i in (3, 5) else {})) for i in range(15)])
     stats = run_bronze(spark, landing, folder, quarantine_dir=f"{folder}-bad")
-    assert stats["messages_fetched"] == 13
+    assert (stats["messages_fetched"], stats["messages_quarantined"]) == (13, 2)
     rows = spark.read.parquet(f"{folder}-bad").collect()
     assert len(rows) == 2 and {e["code"] for r in rows for e in r["errors"]} == {"value_error"}
 
 
+def lines(spark, messages):
+    return spark.createDataFrame([(json.dumps(m),) for m in messages], "raw string")
+
+
+def batch(first, bad):
+    return [message(first + i, **({"velocity": -1} if i in bad else {})) for i in range(6)]
+
+
+def kept(spark, folder):
+    """Messages of the table, and (batch, velocity) of those in quarantine."""
+    table = spark.read.parquet(f"{folder}/bronze").count() if Storage(spark).has_file(f"{folder}/bronze", ".parquet") else 0
+    aside = f"{folder}/bad"
+    if not [n for n in Storage(spark).names(aside) if n.startswith("batch=")]:
+        return table, []
+    return table, sorted((r["batch"], json.loads(r["raw"])["vin"][-5:]) for r in Quarantine(spark, aside).rows().collect())
+
+
+def test_quarantine_keeps_every_batch(spark, folder):
+    for name, first, bad in (("b1", 0, {1}), ("b2", 6, {2, 3}), ("b3", 12, set())):
+        stats = ingest(lines(spark, batch(first, bad)), f"{folder}/bronze", f"{folder}/bad", name)
+        assert (stats.rows, stats.quarantined) == (6 - len(bad), len(bad))
+    both = (15, [("b1", "00001"), ("b2", "00008"), ("b2", "00009")])
+    assert kept(spark, folder) == both
+    assert Quarantine(spark, f"{folder}/bad").batches() == ["b1", "b2", "b3"]
+    assert "_staging" not in Storage(spark).names(f"{folder}/bad") or not Storage(spark).names(f"{folder}/bad/_staging")
+    # Given again, a batch replaces its own part alone.
+    ingest(lines(spark, batch(6, {2})), f"{folder}/bronze", f"{folder}/bad", "b2")
+    assert kept(spark, folder) == (16, [("b1", "00001"), ("b2", "00008")])
+
+
+@pytest.mark.parametrize("at", ["prepare", "publish", "write_table", "write_unpartitioned"])
+def test_a_batch_that_ends_midway_leaves_both_halves_or_neither(spark, folder, monkeypatch, at):
+    ingest(lines(spark, batch(0, {1})), f"{folder}/bronze", f"{folder}/bad", "b1")
+    before = kept(spark, folder)
+
+    def killed(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Quarantine if at in ("prepare", "publish") else quarantine, at, killed)
+        with pytest.raises(KeyboardInterrupt):
+            ingest(lines(spark, batch(6, {2})), f"{folder}/bronze", f"{folder}/bad", "b2")
+    if at != "write_unpartitioned":
+        assert kept(spark, folder) == before
+    # The next run completes what had been recorded, and nothing else.
+    recorded = at != "prepare"
+    ingest(lines(spark, batch(12, {0})), f"{folder}/bronze", f"{folder}/bad", "b3")
+    expected = [("b1", "00001"), *([("b2", "00008")] if recorded else []), ("b3", "00012")]
+    assert kept(spark, folder) == (10 + 5 * recorded, expected)
+    assert Quarantine(spark, f"{folder}/bad").recover() == []
+
+
+def test_quarantine_apart_from_the_table(spark, folder):
+    for one, other in ((folder, f"{folder}/bad"), (f"{folder}/x/y", f"{folder}/x"), (folder, folder)):
+        with pytest.raises(ParquetWriteError, match="within one another"):
+            ingest(lines(spark, batch(0, {1})), one, other)
+    with pytest.raises(ParquetWriteError, match="named by"):
+        ingest(lines(spark, batch(0, {1})), folder, f"{folder}-bad", "../up")
+
+
+def test_batches_of_one_kind_only(spark, folder):
+    stats = ingest(lines(spark, batch(0, set(range(6)))), f"{folder}/bronze", f"{folder}/bad", "all-bad")
+    assert (stats.rows, stats.quarantined) == (0, 6)
+    stats = ingest(lines(spark, []), f"{folder}/bronze", f"{folder}/bad", "none")
+    assert (stats.rows, stats.quarantined) == (0, 0)
+    assert kept(spark, folder)[0] == 0 and len(kept(spark, folder)[1]) == 6
+
+
 @pytest.mark.parametrize("target", ["file:{}/bronze", "{}/bronze/", "{}/bronze/silver", "{}"])
 def test_silver_never_replaces_bronze(spark, tmp_path, folder, target):
     run_bronze(spark, land(tmp_path, [message(1)]), f"{folder}/bronze")
