@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions.patterns import DEFAULT_PATTERN
-from fleetlake.operators.injection import check_arguments, find_violations, plan_scan, summarise_scan
+from fleetlake.operators.injection import check_arguments, find_violations, plan_scan
 from fleetlake.schemas import VIOLATION_SCHEMA
+from fleetlake.sources.listing import list_tree
+from fleetlake.sources.storage import Storage
 from fleetlake.sources.tables import read_for_scan
 
 # Scanned columns and the name of the report table.
@@ -49,29 +51,25 @@ def run_scan(
     columns = DEFAULT_COLUMNS if columns is None else columns
     patterns = [DEFAULT_PATTERN] if patterns is None else patterns
     check_arguments(columns, patterns)
-    table = read_for_scan(spark, data_path, schema)
+    if not Storage(spark).exists(data_path):
+        raise FileNotFoundError(f"Data directory not found: {data_path}")
+    tree = list_tree(spark, data_path, hidden=True)
+    table = read_for_scan(spark, data_path, schema, tree)
     notes: list[str] = []
-    if table is None:
-        violations = spark.createDataFrame([], VIOLATION_SCHEMA)
-        files = rows = found = 0
-        if output_dir is not None:
-            write_violations(violations, output_dir)
-    else:
+    rows = 0
+    violations = spark.createDataFrame([], VIOLATION_SCHEMA)
+    if table is not None:
         usable = plan_scan(table, columns, patterns)
         notes = usable.warnings
-        columns, patterns = usable.columns, usable.patterns
-        violations = find_violations(table, columns, patterns)
-        if output_dir is None:
-            summary = summarise_scan(table, columns, patterns).first()
-            files, rows, found = summary
-        else:
-            # Counting rows needs the Parquet footers only.
-            files, rows = len(table.inputFiles()), table.count()
-            found = write_violations(violations, output_dir)
+        violations = find_violations(table, usable.columns, usable.patterns)
+        # Counting rows needs the Parquet footers only.
+        rows = table.count()
+    # The violations are stored already, so this counts what one scan has found.
+    found = violations.count() if output_dir is None else write_violations(violations, output_dir)
     if output_dir is not None:
         violations = spark.read.schema(VIOLATION_SCHEMA).parquet(f"{output_dir}/{REPORT_NAME}")
     return {
-        "total_files_scanned": files,
+        "total_files_scanned": len(tree),
         "total_rows_scanned": rows,
         "violations_found": found,
         "violations": violations,

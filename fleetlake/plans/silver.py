@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from fleetlake.operators.silver import to_silver
 from fleetlake.schemas import BRONZE_TABLE_SCHEMA
 from fleetlake.sinks import DATE_HOUR, write_table
+from fleetlake.sources.listing import list_tree
 from fleetlake.sources.storage import Storage
-from fleetlake.sources.tables import has_parquet, read_bronze
+from fleetlake.sources.tables import read_bronze
 
 
 def run_silver(
@@ -41,10 +42,11 @@ def run_silver(
         "filtered_rows": 0,
         "duration_ms": 0,
     }
-    if not has_parquet(spark, bronze_dir):
+    tree = list_tree(spark, bronze_dir)
+    if not tree.files:
         return result
     counted = Observation()
-    bronze = read_bronze(spark, bronze_dir, schema)
+    bronze = read_bronze(spark, bronze_dir, schema, tree)
     bronze = bronze.drop(*[c for c in DATE_HOUR if c in bronze.columns]).observe(
         counted,
         F.count(F.lit(1)).alias("input_rows"),

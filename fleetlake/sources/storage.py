@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
 class Storage:
     def __init__(self, spark: SparkSession):
+        self._jvm = spark._jvm
         self._paths = spark._jvm.org.apache.hadoop.fs
         self._conf = spark._jsc.hadoopConfiguration()
 
@@ -27,31 +30,22 @@ class Storage:
         """The user's directory on the default file system."""
         return self._paths.FileSystem.get(self._conf).getHomeDirectory().toString()
 
-    def directories(self, path: str, suffix: str) -> set[str]:
-        """Directories below ``path`` (relative, "" for itself) with files that end so.
-
-        Hidden ones, whose name starts with "_" or ".", are left out, as Spark's readers do;
-        a ``key=value`` name is never hidden.
-        """
-        root = self.qualified(path)
-        fs, hadoop_path = self._open(path)
-        found: set[str] = set()
-        walker = fs.listFiles(hadoop_path, True)
-        while walker.hasNext():
-            file = walker.next().getPath()
-            if file.getName().endswith(suffix):
-                found.add(file.getParent().toString().rstrip("/").removeprefix(root).strip("/"))
-        return {d for d in found if not any(p[0] in "_." and "=" not in p for p in d.split("/") if p)}
+    def texts(self, array) -> list[str]:
+        """The elements of a Java array of strings, brought over in one piece."""
+        text = self._jvm.org.apache.hadoop.util.StringUtils.join("\n", array)
+        return text.split("\n") if text else []
 
     def hidden_files(self, path: str, suffix: str) -> list[str]:
         """Full paths of the files below ``path`` that end so and that Spark's listing passes over,
-        because their name or a folder's begins with "_" or "."."""
+        because their name or a folder's begins with "_" or ".".
+
+        The file system lists the tree and hands it over in one piece.
+        """
         root = self.qualified(path)
         fs, hadoop_path = self._open(path)
-        found: list[str] = []
-        walker = fs.listFiles(hadoop_path, True)
-        while walker.hasNext():
-            file = walker.next().getPath().toString()
+        listed = self._jvm.org.apache.hadoop.util.functional.RemoteIterators.toList(fs.listFiles(hadoop_path, True))
+        found = []
+        for file in re.findall(r"\{path=(.*?); isDirectory=false; length=", listed.toString(), re.S):
             parts = file.removeprefix(root).strip("/").split("/")
             if file.endswith(suffix) and any(p[0] in "_." and "=" not in p for p in parts if p):
                 found.append(file)
@@ -76,6 +70,28 @@ class Storage:
                 return True
         return False
 
+    def read_text(self, path: str) -> str:
+        """The whole of a small text file."""
+        fs, hadoop_path = self._open(path)
+        stream = fs.open(hadoop_path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write_text(self, path: str, text: str) -> None:
+        """Write a small text file; it appears whole or not at all."""
+        fs, hadoop_path = self._open(path)
+        _, beside = self._open(f"{path}.new")
+        stream = fs.create(beside, True)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+        fs.delete(hadoop_path, False)
+        if not fs.rename(beside, hadoop_path):
+            raise OSError(f"cannot rename {path}.new")
+
     def delete(self, path: str) -> None:
         fs, hadoop_path = self._open(path)
         fs.delete(hadoop_path, True)

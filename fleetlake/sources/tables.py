@@ -7,41 +7,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.schemas import BRONZE_TABLE_SCHEMA
-from fleetlake.sources.storage import Storage
-
-_SUFFIX = ".parquet"
+from fleetlake.sources.listing import SUFFIX, Tree, list_tree
 
 
 def has_parquet(spark: SparkSession, path: str) -> bool:
-    storage = Storage(spark)
-    return storage.exists(path) and bool(storage.directories(path, _SUFFIX))
+    return bool(list_tree(spark, path).files)
 
 
 def read_tree(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False, hidden: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False, tree: Tree | None = None
 ) -> DataFrame:
     """Every ``.parquet`` file below ``path``, however the folders are nested.
 
     A tree of ``key=value`` folders alone is read with Spark's partition discovery, so filters
     on the keys prune folders. Where plain folders occur, Spark's discovery would pass over
     files; such a tree is read file by file, and the keys come from the paths as text. So is one
-    with hidden files, if ``hidden`` asks for them.
+    with hidden files. ``tree`` is the listing, where the caller has it.
     """
-    reader = spark.read.option("pathGlobFilter", f"*{_SUFFIX}")
+    reader = spark.read.option("pathGlobFilter", f"*{SUFFIX}")
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", str(merge).lower())
-    storage = Storage(spark)
-    folders = storage.directories(path, _SUFFIX)
-    more = storage.hidden_files(path, _SUFFIX) if hidden else []
-    below = storage.qualified(path)
-    folders |= {f.removeprefix(below).strip("/").rpartition("/")[0] for f in more}
-    parts = [d.split("/") if d else [] for d in folders]
-    levels = {tuple(p.partition("=")[0] for p in d) for d in parts}
-    if not more and all("=" in p for d in parts for p in d) and len(levels) <= 1:
+    tree = list_tree(spark, path) if tree is None else tree
+    if tree.partitioned:
         return reader.parquet(path)
-    table = reader.option("recursiveFileLookup", "true").parquet(path, *more)
-    keys = sorted({p.partition("=")[0] for d in parts for p in d if "=" in p})
+    table = reader.option("recursiveFileLookup", "true").parquet(path, *tree.hidden)
     types = {f.name: f.dataType for f in table.schema.fields}
-    for key in keys:
+    for key in tree.keys:
         at = F.regexp_extract(F.col("_metadata.file_path"), f"/\\Q{key}\\E=([^/]*)/", 1)
         value = F.when((at != "") & (at != "__HIVE_DEFAULT_PARTITION__"), F.url_decode(at))
         value = value.try_cast(types[key]) if key in types else value
@@ -50,31 +40,27 @@ def read_tree(
 
 
 def read_bronze(
-    spark: SparkSession, path: str, schema: T.StructType | None = BRONZE_TABLE_SCHEMA
+    spark: SparkSession, path: str, schema: T.StructType | None = BRONZE_TABLE_SCHEMA, tree: Tree | None = None
 ) -> DataFrame:
     """All Bronze files, with the declared schema; ``schema=None`` takes it from the files."""
-    return read_tree(spark, path, schema)
+    return read_tree(spark, path, schema, tree=tree)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver with its ``date`` and ``hour`` columns; an empty table is an error."""
-    if not has_parquet(spark, path):
-        raise FileNotFoundError(f"No Silver data found in {path}")
-    silver = read_tree(spark, path)
-    if silver.isEmpty():
+    tree = list_tree(spark, path)
+    silver = read_tree(spark, path, tree=tree) if tree.files else None
+    if silver is None or silver.isEmpty():
         raise FileNotFoundError(f"No Silver data found in {path}")
     return silver
 
 
 def read_for_scan(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, tree: Tree | None = None
 ) -> DataFrame | None:
     """Every Parquet file below ``path``, hidden ones too, columns merged over the files; None without files.
 
     Merging reads all footers, in a Spark job; pass ``schema`` where it is known.
     """
-    if not Storage(spark).exists(path):
-        raise FileNotFoundError(f"Data directory not found: {path}")
-    if not Storage(spark).has_file(path, _SUFFIX):
-        return None
-    return read_tree(spark, path, schema, merge=True, hidden=True)
+    tree = list_tree(spark, path, hidden=True) if tree is None else tree
+    return read_tree(spark, path, schema, merge=True, tree=tree) if len(tree) else None
