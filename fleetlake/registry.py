@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
+import warnings
 from collections.abc import Callable
-from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,16 +19,20 @@ from fleetlake.operators.injection import find_violations, summarise_scan
 from fleetlake.operators.silver import check_silver, drop_null_vins, to_silver
 from fleetlake.operators.sizing import estimate_parquet_size_mb, split_by_size
 from fleetlake.operators.validation import error_counts, validate_messages
+from fleetlake.plans.bronze import ingest
 from fleetlake.plans.gold import run_gold
 from fleetlake.plans.pipeline import run_pipeline
+from fleetlake.plans.quarantine import Quarantine
 from fleetlake.plans.reports import run_sql
 from fleetlake.plans.security import DEFAULT_COLUMNS, run_scan
+from fleetlake.plans.silver import run_silver
 from fleetlake.schemas import BRONZE_FIELDS
-from fleetlake.session import configure, shared_folder
+from fleetlake.session import configure
 from fleetlake.sinks import partition_text, with_date_hour, write_parquet, write_table, write_unpartitioned
 from fleetlake.sources.events import raw_messages, read_events, vehicle_messages
 from fleetlake.sources.messages import read_messages
-from fleetlake.sources.storage import Storage
+from fleetlake.sources.scratch import scratch_path
+from fleetlake.sources.tables import read_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,22 +61,10 @@ def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_messages(_raw(spark, sf_dir), keep=["event_id"])
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when Python ends: lazy results read it until then."""
-    path = f"{shared_folder(spark)}/fleetlake-{name}-{uuid.uuid4().hex}"
-    atexit.register(_delete, Storage(spark), path)
-    return path
-
-
-def _delete(storage: Storage, path: str) -> None:
-    with suppress(Exception):  # the session may have ended before
-        storage.delete(path)
-
-
 def message_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the messages in both layouts and read them back: as lines, and the well-formed ones
     as lists of up to 500, a file each."""
-    base = _scratch(spark, "landing")
+    base = scratch_path(spark, "landing")
     raw = _raw(spark, sf_dir)
     raw.select("raw").write.text(f"{base}/lines")
     is_message = is_one_value(F.col("raw")) & F.from_json("raw", "map<string,string>").isNotNull()
@@ -112,6 +102,77 @@ def bronze_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quarantine_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest three batches, one of them twice; the valid messages of each, and all of the quarantine."""
+    base = scratch_path(spark, "quarantine")
+    raw = _raw(spark, sf_dir)
+    counts = []
+    for n in (0, 1, 2, 1):
+        batch = raw.where(F.col("event_id") % 3 == n).select("raw")
+        stats = ingest(batch, f"{base}/bronze", f"{base}/bad", f"b{n}", partition_columns=["date"])
+        counts.append((f"b{n}", "good", "", stats.rows))
+    good = spark.createDataFrame(sorted(set(counts)), "batch string, kind string, raw_md5 string, n bigint")
+    bad = Quarantine(spark, f"{base}/bad").rows()
+    return good.unionByName(
+        bad.select("batch", F.lit("bad").alias("kind"), F.md5("raw").alias("raw_md5"), F.size("errors").cast("bigint").alias("n"))
+    )
+
+
+def presence_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every reader makes of a table that is there, hidden, empty, or not there."""
+    base = scratch_path(spark, "guards")
+    rows = _messages(spark, sf_dir)
+    rows.write.parquet(f"{base}/there/date=2025-01-01/hour=01")
+    rows.write.parquet(f"{base}/hidden/_old")
+    rows.limit(0).write.parquet(f"{base}/empty")
+    rows.select(F.to_json(F.struct("*"))).write.text(f"{base}/other")
+    out = []
+    for name in ("there", "hidden", "empty", "other", "nowhere"):
+        path = f"{base}/{name}"
+        try:
+            silver = read_silver(spark, path).count()
+        except FileNotFoundError:
+            silver = -1
+        try:
+            scan = run_scan(spark, path)["total_rows_scanned"]
+        except FileNotFoundError:
+            scan = -1
+        bronze = run_silver(spark, path, f"{base}/out-{name}", schema=None, partition_columns=["date"])["input_rows"]
+        out.append((name, silver, scan, bronze))
+    return spark.createDataFrame(out, "name string, silver_rows bigint, scanned_rows bigint, bronze_rows bigint")
+
+
+def silver_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables that the Silver constraints accept (rows checked) or refuse as a whole (-1)."""
+    silver = _silver(spark, sf_dir).drop("event_id")
+    cases = {
+        "as it is": silver,
+        "one column too many": silver.withColumn("colour", F.lit("red")),
+        "no vin": silver.drop("vin"),
+        "text for a number": silver.withColumn("gear_position", F.col("gear_position").cast("string")),
+        "narrow number": silver.withColumn("gear_position", F.col("gear_position").cast("int")),
+        "column without values": silver.withColumn("model", F.lit(None)),
+    }
+    out = []
+    for name, table in cases.items():
+        try:
+            checked = check_silver(table)
+            out.append((name, checked.count(), checked.where(F.size("errors") > 0).count()))
+        except ValueError:
+            out.append((name, -1, -1))
+    return spark.createDataFrame(out, "name string, rows bigint, flawed bigint")
+
+
+def injection_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan that is given columns and patterns it cannot use, which it leaves out with a warning."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        found = find_violations(
+            _messages(spark, sf_dir), [*DEFAULT_COLUMNS, "colour"], ["(unclosed", DEFAULT_PATTERN, "(?=a)", "a{2,1}"]
+        )
+    return found.drop("file_path")
+
+
 def vin_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_null_vins(_messages(spark, sf_dir)).select("event_id", "vin")
 
@@ -179,7 +240,7 @@ def date_hour_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write Silver partitioned and read the directories back."""
-    path = _scratch(spark, "silver")
+    path = scratch_path(spark, "silver")
     write_table(_silver(spark, sf_dir).drop("event_id"), path)
     return (
         spark.read.parquet(path)
@@ -284,7 +345,7 @@ def _text_scan(table: str, column: str, patterns: list[str], planted_by: str | N
 
 def injection_scan_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan a tree of nested plain and key=value folders; read the report table back."""
-    base = _scratch(spark, "folders")
+    base = scratch_path(spark, "folders")
     messages = _messages(spark, sf_dir)
     for n, folder in enumerate(["plain", "plain/deep/er", "keys/shard=1", "keys/shard=2"]):
         messages.where(F.col("event_id") % 4 == n).write.parquet(f"{base}/in/{folder}")
@@ -300,7 +361,7 @@ def injection_scan_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run all reports into Gold and read both outputs back, all columns as text."""
-    base = _scratch(spark, "gold")
+    base = scratch_path(spark, "gold")
     write_unpartitioned(_silver(spark, sf_dir), f"{base}/silver")
     run = run_gold(spark, f"{base}/silver", f"{base}/gold")
     read = {}
@@ -323,7 +384,7 @@ def gold_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def custom_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partition by gear, replace one partition, write a capped copy; count what is there."""
-    base = _scratch(spark, "gears")
+    base = scratch_path(spark, "gears")
     silver = _silver(spark, sf_dir)
     write_table(silver, f"{base}/gears", partition_columns=["gear_position"])
     again = silver.where((F.col("gear_position") == 3) & (F.col("event_id") % 24 == 3))
@@ -359,7 +420,7 @@ def size_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the messages as JSON lines, run all steps, and report their row counts."""
-    base = _scratch(spark, "pipeline")
+    base = scratch_path(spark, "pipeline")
     messages = _messages(spark, sf_dir)
     columns = [n for n, _ in BRONZE_FIELDS if n in messages.columns]
     text = F.to_json(
@@ -384,12 +445,15 @@ _QUERIES: dict[str, Query] = {
     "bronze_validation": bronze_validation,
     "bronze_error_counts": bronze_error_counts,
     "bronze_messages": bronze_messages,
+    "quarantine_batches": quarantine_batches,
     "vin_not_null": vin_not_null,
     "gear_map": gear_map,
     "gear_map_elements": gear_map_elements,
     "manufacturer_strip": manufacturer_strip,
     "silver_transform": silver_transform,
     "silver_constraints": silver_constraints,
+    "silver_refusals": silver_refusals,
+    "presence_guards": presence_guards,
     "date_hour_partitions": date_hour_partitions,
     "partitioned_sink": partitioned_sink,
     "hourly_max_velocity": hourly_max_velocity,
@@ -403,6 +467,7 @@ _QUERIES: dict[str, Query] = {
     "adhoc_sql_report": adhoc_sql_report,
     "injection_violations": injection_violations,
     "injection_summary": injection_summary,
+    "injection_with_faults": injection_with_faults,
     "injection_scan_pages": _text_scan("pages", "html", [DEFAULT_PATTERN]),
     "pattern_library_pages": _text_scan("pages", "html", list(PATTERN_LIBRARY.values())),
     "pattern_library_documents": _text_scan("documents", "text", list(PATTERN_LIBRARY.values()), "doc_id"),
