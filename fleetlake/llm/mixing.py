@@ -13,9 +13,11 @@ ranges within the one that is cut, and so on. So no leaf is ever sorted as a who
 with a third of all rows costs a partial sum like any other.
 
 Results: null levels are a leaf of their own (empty name). Null and empty texts have no tokens;
-they are taken where the prefix passes them. A leaf without tokens gets nothing. Rows with the
-same ``doc_id`` have the same place in the order; if the prefix ends among them, all rows with the
-key of the last that fits are taken. An empty table gives an empty result.
+they are taken where the prefix passes them; a very long text counts whole and is taken where it fits.
+A leaf without tokens gets nothing, nor does one whose weight is 0 or lies below a node of weight 0: its
+share goes to the others. Negative weights are refused. Rows with the same ``doc_id`` have the same
+place in the order and are taken together: if not all of them fit, the prefix ends before them. Rows
+with a null ``doc_id`` are such rows too. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -66,7 +68,8 @@ def share_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
     which the budget runs out are full, the others share what is left.
     """
     by = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
-    rate = F.call_function("div", F.col("__capacity").cast(_BIG) * 1_000_000, F.col("__weight").cast(_BIG))
+    weight = F.greatest(F.col("__weight"), F.lit(1)).cast(_BIG)  # one of weight 0 has no capacity
+    rate = F.call_function("div", F.col("__capacity").cast(_BIG) * 1_000_000, weight)
     before = by.orderBy("__rate", name).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
     placed = (
@@ -93,9 +96,17 @@ def leaf_targets(
     leaves: DataFrame, levels: list[str], weights: dict[tuple[str, ...], int], budget: Column, max_epochs: int
 ) -> DataFrame:
     """Leaves (levels, ``__size`` in tokens) with ``__target``; ``budget`` is over all leaves' sum."""
-    at = leaves.withColumn("__leaf_capacity", F.col("__size") * max_epochs)
-    total = Window.partitionBy(F.lit(0))
-    at = at.withColumn("__target", F.least(budget(F.sum("__size").over(total)), F.sum("__leaf_capacity").over(total)))
+    if min(weights.values(), default=0) < 0:
+        raise ValueError("weights cannot be negative")
+    closed = F.lit(False)
+    for depth in range(1, len(levels) + 1):
+        closed = closed | (_weight(levels[:depth], weights) == 0)
+    at = leaves.withColumn("__leaf_capacity", F.when(closed, 0).otherwise(F.col("__size") * max_epochs).cast("bigint"))
+    # One row, whatever the number of leaves.
+    zero = F.lit(0).cast("bigint")
+    size, capacity = at.agg(*[F.coalesce(F.sum(c), zero) for c in ("__size", "__leaf_capacity")]).first()
+    most = F.lit(capacity).cast("bigint")
+    at = at.withColumn("__target", F.least(budget(F.lit(size).cast("bigint")), most))
     for depth in range(1, len(levels) + 1):
         path = levels[:depth]
         node = at.groupBy(*path).agg(
@@ -119,7 +130,7 @@ def plan(
     ``narrow`` has doc_id, the levels and ``__tokens``.
     """
     thousandths = round(budget_share * 1000)
-    leaves = narrow.groupBy(*levels).agg(F.sum("__tokens").alias("__size"))
+    leaves = stored(narrow.groupBy(*levels).agg(F.sum("__tokens").alias("__size")), "mix-sizes")
 
     def budget(total: Column) -> Column:
         return F.call_function("div", total.cast(_BIG) * thousandths, F.lit(1000).cast(_BIG)).cast("bigint")
@@ -159,10 +170,12 @@ def plan(
     shift = _KEY_BITS - _DIGITS * _DIGIT_BITS
     id_of = F.coalesce(F.col("doc_id"), F.lit(-_LAST_ID - 1))
     order = Window.partitionBy(*levels).orderBy("__key", "__id")
+    # Rows of one identifier have one place; they are one row here, so that it fits as a whole or not.
     last = (
         keyed.join(cut, levels)
         .where(F.shiftright("__key", shift) == F.col("__prefix"))
-        .withColumn("__id", id_of)
+        .groupBy(*levels, "__key", id_of.alias("__id"))
+        .agg(F.sum("__tokens").alias("__tokens"), F.first("__left").alias("__left"))
         .withColumn("__run", F.sum("__tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .where(F.col("__run") <= F.col("__left"))
         .groupBy(*levels)

@@ -27,25 +27,27 @@ def mixing(
         + ", ".join(f"coalesce({expr}, '') AS {name}" for name, expr in levels.items())
         + ", CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS HUGEINT) AS n"
         + f" FROM {table})",
-        f"leaves AS (SELECT {keys}, sum(n) AS size FROM t GROUP BY {keys})",
+        f"leaves AS (SELECT {keys}, sum(n) AS size, CASE WHEN "
+        + " OR ".join(f"{weight_case(path[:depth], weights)} = 0" for depth in range(1, len(path) + 1))
+        + f" THEN 0 ELSE sum(n) END AS open_size FROM t GROUP BY {keys})",
         f"b0 AS (SELECT *, least(sum(size) OVER () * {round(budget_share * 1000)} // 1000,"
-        f" sum(size) OVER () * {max_epochs}) AS budget FROM leaves)",
+        f" sum(open_size) OVER () * {max_epochs}) AS budget FROM leaves)",
     ]
     for depth in range(1, len(path) + 1):
         at, parent, name = ", ".join(path[:depth]), ", ".join(path[: depth - 1]), path[depth - 1]
         by = f"PARTITION BY {parent}" if parent else ""
         steps += [
-            f"n{depth} AS (SELECT {at}, sum(size) * {max_epochs} AS cap, any_value(budget) AS budget,"
+            f"n{depth} AS (SELECT {at}, sum(open_size) * {max_epochs} AS cap, any_value(budget) AS budget,"
             f" CAST({weight_case(path[:depth], weights)} AS HUGEINT) AS w FROM b{depth - 1} GROUP BY {at})",
             f"o{depth} AS (SELECT *, sum(w) OVER ({by}) AS all_w,"
             f" coalesce(sum(cap) OVER before, 0) AS before_cap, coalesce(sum(w) OVER before, 0) AS before_w"
-            f" FROM n{depth} WINDOW before AS ({by} ORDER BY cap * 1000000 // w, {name}"
+            f" FROM n{depth} WINDOW before AS ({by} ORDER BY cap * 1000000 // greatest(w, 1), {name}"
             " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))",
             f"f{depth} AS (SELECT *, cap * (all_w - before_w) <= (budget - before_cap) * w AS is_full FROM o{depth})",
             f"s{depth} AS (SELECT {at}, CASE WHEN is_full THEN cap ELSE greatest(0,"
             f" (budget - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ({by})) * w"
             f" // greatest(1, sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ({by}))) END AS share FROM f{depth})",
-            f"b{depth} AS (SELECT {keys}, size, share AS budget FROM b{depth - 1} JOIN s{depth} USING ({at}))",
+            f"b{depth} AS (SELECT {keys}, size, open_size, share AS budget FROM b{depth - 1} JOIN s{depth} USING ({at}))",
         ]
     last = f"b{len(path)}"
     steps.append(
@@ -54,7 +56,7 @@ def mixing(
         f" CAST('0x' || substr(md5('{seed}|' || CAST(budget // greatest(size, 1) AS VARCHAR) || '|'"
         f" || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) AS key FROM t JOIN {last} USING ({keys}))"
     )
-    steps.append(f"run AS (SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY key, doc_id) AS so_far FROM keyed)")
+    steps.append(f"run AS (SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY key, doc_id NULLS FIRST) AS so_far FROM keyed)")
     return (
         "WITH "
         + ",\n".join(steps)

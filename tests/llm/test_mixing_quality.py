@@ -1,6 +1,7 @@
 """Source mixing against SQL and brute force; quality rules against brute force."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 from helpers import odd_texts, rows_of, table, words
 from pyspark.sql import functions as F
 
-from fleetlake.llm import mixing, quality, queries
+from fleetlake.llm import mixing, quality, queries, sql
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,6 +71,41 @@ def test_mix_edges(spark):
     assert taken.columns == docs.columns and taken.count() < 5
 
 
+MIXES = [
+    ({}, 0.5, 1), ({("a",): 0}, 0.7, 2), ({("*", "x"): 0, ("b", "y"): 5}, 0.6, 2), ({("a",): 0, ("b",): 0, ("",): 0, ("c",): 0}, 0.5, 1),
+    ({("c",): 9, ("c", "y"): 0}, 1.9, 2), ({("*", "x"): 3}, 0.31, 1),
+]
+
+
+@pytest.mark.parametrize("weights, share, epochs", MIXES)
+def test_repeated_and_null_ids_and_weight_zero_equal_sql(spark, weights, share, epochs):
+    rng = random.Random(len(weights) + epochs)
+    rows = []
+    for i in range(400):
+        doc_id = None if i % 9 == 0 else rng.randrange(60) if i % 3 else 1000 + i
+        text = " ".join(["w"] * rng.randrange(30)) if i % 11 else None
+        rows.append((doc_id, text, rng.choice(["a", "b", "c", None]), rng.choice(["x", "y"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    columns = {"lang": F.col("lang"), "source": F.col("source")}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    query = sql.mixing({"lang": "lang", "source": "source"}, weights, share, epochs, 3)
+    # pandas holds whole numbers with nulls as floats.
+    query = query.replace("SELECT doc_id, coalesce(lang", "SELECT CAST(doc_id AS BIGINT) AS doc_id, coalesce(lang", 1)
+    expected = sorted(map(repr, con.execute(query).fetchall()))
+    names = [d[0] for d in con.description]
+    mixed = mixing.mix(docs, columns, weights, share, epochs, 3)
+    assert sorted(map(repr, map(tuple, mixed.select(names).collect()))) == expected
+    # What is taken never exceeds a leaf's target.
+    taken = mixed.groupBy("lang", "source").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("n"), F.first("leaf_target").alias("t"))
+    assert all(r["n"] <= r["t"] for r in taken.collect())
+
+
+def test_negative_weights_are_refused(spark):
+    with pytest.raises(ValueError, match="negative"):
+        mixing.mix(table(spark, ["a"]), {"lang": F.col("lang")}, {("en",): -1}, 0.5)
+
+
 def plain_statistics(text):
     text = text or ""
     w = words(text)

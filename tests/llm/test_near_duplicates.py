@@ -149,36 +149,11 @@ def test_edit_distance():
         assert fuzzy_lines.edit_distance(a, b, most) == min(levenshtein(a, b), most + 1)
 
 
-def plain_lines(docs, distance=2, similarity=0.9):
-    first = {}
-    for d, text in sorted(docs):
-        for j, line in enumerate((text or "").encode().split(b"\n")):
-            if w := tuple(fuzzy_lines.normal_words(line)):
-                first.setdefault(w, (d, j))
-    lines = list(first)
-    sims = fuzzy_lines.simhashes([list(x) for x in lines]).view(np.uint64) if lines else []
-    classes = Classes(range(len(lines)))
-    for x in range(len(lines)):
-        for y in np.flatnonzero(np.bitwise_count(sims[x + 1 :] ^ sims[x]) <= distance) + x + 1:
-            longest = max(len(lines[x]), len(lines[y]))
-            if levenshtein(lines[x], lines[y]) <= int(longest * (1 - similarity) + 1e-9):
-                classes.join(x, int(y))
-    stays = {}
-    for i, w in enumerate(lines):
-        root = classes.find(i)
-        stays[root] = min(stays.get(root, first[w]), first[w])
-    number = {w: i for i, w in enumerate(lines)}
-    out = {}
-    for d, text in docs:
-        kept, removed = [], 0
-        for j, line in enumerate((text or "").encode().split(b"\n")):
-            w = tuple(fuzzy_lines.normal_words(line))
-            if w and stays[classes.find(number[w])] != (d, j):
-                removed += 1
-            else:
-                kept.append(line)
-        out[d] = (removed, b"\n".join(kept))
-    return out
+def plain_lines(docs):
+    """Brute force by edit similarity alone: what is linked no longer depends on SimHashes."""
+    from test_near_lines import plain_near_lines
+
+    return plain_near_lines(docs)
 
 
 def test_lines(spark):
