@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm import membership
-from fleetlake.llm.common import release, stored
+from fleetlake.llm.common import BLOCK_BYTES, release, stored
 from fleetlake.llm.components import components
 
 BLOCK = 128
@@ -80,6 +80,16 @@ def _tested(pairs: DataFrame, texts: DataFrame, test: Test) -> DataFrame:
     return _with_texts(pairs, texts).mapInArrow(work, "a bigint, b bigint")
 
 
+def _slices_by_bytes(texts: pa.ChunkedArray) -> Iterator[slice]:
+    """Consecutive slices of at most ``BLOCK_BYTES`` bytes of text, or of one text."""
+    ends = np.cumsum(pa.compute.binary_length(texts).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_BYTES, side="right")))
+        yield slice(at, to)
+        at = to
+
+
 def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test) -> DataFrame:
     """Links between members (``arena``, ``id``, ``label``) outside an arena's class and all of it."""
     outside = F.col("label") != F.col("arena")
@@ -101,7 +111,12 @@ def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test) -> DataFr
         sides = [table.filter(pa.compute.equal(table.column("query"), value)) for value in (True, False)]
         a, b = (side.column("id").to_numpy() for side in sides)
         one, other = (side.column("label").to_numpy() for side in sides)
-        found = test(*(side.column("text").to_pylist() for side in sides)) if len(a) and len(b) else np.zeros((len(a), len(b)), bool)
+        found = np.zeros((len(a), len(b)), bool)
+        # Long texts are tested a few at a time.
+        for rows in _slices_by_bytes(sides[0].column("text")):
+            for columns in _slices_by_bytes(sides[1].column("text")):
+                texts = [side.column("text").slice(s.start, s.stop - s.start).to_pylist() for side, s in zip(sides, (rows, columns))]
+                found[rows, columns] = test(*texts)
         i, j = np.nonzero(found & (one[:, None] != other[None, :]))
         # One link to each class is enough.
         _, first = np.unique(np.column_stack([one[i], other[j]]), axis=0, return_index=True) if len(i) else (None, i)

@@ -108,7 +108,8 @@ def op9_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_remainder(F.col("doc_id"), 4) == 2
     dictionaries = language.train_dictionaries(docs, ~held_out)
-    return language.identify(docs, dictionaries).withColumn("held_out", held_out)
+    found = language.identify(docs, dictionaries).withColumn("held_out", held_out)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
 def op10_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
