@@ -269,7 +269,7 @@ def forward(model: Model, chains: list[np.ndarray]) -> np.ndarray:
     order = sorted(range(len(chains)), key=lambda i: -len(chains[i]))
     lengths = np.array([len(chains[i]) for i in order])
     out = np.zeros(len(chains))
-    longest = int(lengths[0])
+    longest, one = int(lengths[0]), np.ones(len(model.start))
     state = None
     for at in range(0, longest, SEGMENT):  # steps are laid out a segment at a time
         n = int(np.searchsorted(-lengths, -at, side="left"))
@@ -277,7 +277,7 @@ def forward(model: Model, chains: list[np.ndarray]) -> np.ndarray:
         for t, k in enumerate(active):
             seen = model.emit[steps[t, :k]]
             state = model.start * seen if state is None else (state[:k] @ model.move) * seen
-            scale = state.sum(axis=1)
+            scale = state @ one
             state /= scale[:, None]
             out[:k] += np.log10(scale)
     result = np.empty(len(chains))
@@ -300,12 +300,13 @@ class Expectations:
         model = self.model
         steps, active = _side_by_side([c[at : at + SEGMENT] for c in chains if len(c) > at])
         seen = model.emit[steps]  # [step, chain, state]
-        alpha, scale = np.empty(seen.shape), np.ones(steps.shape)
+        alpha, scale, one = np.zeros(seen.shape), np.ones(steps.shape), np.ones(len(model.start))
         for t, k in enumerate(active):
             prior = alpha[t - 1, :k] if t else before
             now = (model.start if prior is None else prior[:k] @ model.move) * seen[t, :k]
-            scale[t, :k] = now.sum(axis=1)
-            alpha[t, :k] = now / scale[t, :k, None]
+            total = now @ one
+            scale[t, :k] = total
+            np.divide(now, total[:, None], out=alpha[t, :k])
         return steps, active, seen, alpha, scale
 
     def add(self, chains: list[np.ndarray]) -> None:
@@ -318,22 +319,27 @@ class Expectations:
             part = self._forward(chains, at, befores[-1])
             self.likelihood += float(np.log(part[4]).sum())
             befores.append(part[3][-1].copy())
-        beta = np.ones((len(chains), states))
+        beta, turned = np.ones((len(chains), states)), np.ascontiguousarray(model.move.T)
         for place in range(len(places) - 1, -1, -1):
             before = befores[place]
             if place < len(places) - 1:
                 part = self._forward(chains, places[place], before)
             steps, active, seen, alpha, scale = part
             weights = np.zeros(alpha.shape)
+            # From here on, of every step: what it passes back to the one before it.
+            back = np.divide(seen, scale[:, :, None], out=seen)
             for t in range(len(active) - 1, -1, -1):
                 k = active[t]
-                weights[t, :k] = alpha[t, :k] * beta[:k]
-                prior = alpha[t - 1] if t else before
-                if prior is not None:
-                    back = seen[t, :k] * beta[:k] / scale[t, :k, None]
-                    self.move += (prior[:k].T @ back) * model.move
+                np.multiply(alpha[t, :k], beta[:k], out=weights[t, :k])
+                back[t, :k] *= beta[:k]
+                back[t, k:] = 0
+                if t or before is not None:
                     # A chain whose last step is earlier still has the ones it began with.
-                    beta[:k] = back @ model.move.T
+                    beta[:k] = back[t, :k] @ turned
+            moves = alpha[:-1].reshape(-1, states).T @ back[1:].reshape(-1, states)
+            if before is not None:
+                moves += before[: active[0]].T @ back[0, : active[0]]
+            self.move += moves * model.move
             if before is None:
                 self.start += weights[0].sum(axis=0)
             flat, used = steps.ravel(), weights.reshape(-1, states)
