@@ -6,7 +6,9 @@ in a long text, and the language with the smallest total wins. Where the runner-
 ``min_margin`` of the winner the text is rejected (``accepted`` is false).
 
 The sample is the only bounded part: at most ``sample_rows`` rows and ``dictionary_bytes`` bytes
-a language, taken from all labelled rows by the hash of their identifier. Prediction encodes
+a language, whichever ends first, taken from all labelled rows by the hash of their identifier: of
+each row a piece of twice its share of the bytes, so that short texts still fill the dictionary; where
+all texts are long, half of the rows do. Prediction encodes
 every whole text and needs no shuffle.
 
 Results: a null text, or one without a letter, is ``und`` with score 0; so is every text if

@@ -193,17 +193,27 @@ def learn_rules(
     )
     rules: list[Rule] = []
     free = F.lit(True)
+    # First literals that led to no rule, as (feature, direction): at most two a feature, and what
+    # rows a later rule takes away does not bring them back.
+    failed: set[tuple[str, bool]] = set()
     while max_rules is None or len(rules) < max_rules:
-        literals = _grow(cells.where(F.col("__grow") & free), names, cuts, max_literals)
-        literals, p, n = _prune(cells.where(~F.col("__grow") & free), literals)
-        if not literals or p + n < min_covered or (p + 1) / (p + n + 2) < min_precision:
+        grown = _grow(cells.where(F.col("__grow") & free), names, cuts, max_literals, failed)
+        literals, p, n = _prune(cells.where(~F.col("__grow") & free), grown)
+        if not literals:
             break
+        if p + n < min_covered or (p + 1) / (p + n + 2) < min_precision:
+            failed.add((grown[0].feature, grown[0].above))
+            continue
         rules.append(Rule(tuple(literals), p + n, p))
         free = free & ~_all([x.on_bins() for x in literals])
     return rules
 
 
-def _grow(cells: DataFrame, names: list[str], cuts: dict, max_literals: int) -> list[Literal]:
+def _grow(
+    cells: DataFrame, names: list[str], cuts: dict, max_literals: int, not_first: set[tuple[str, bool]] = frozenset()
+) -> list[Literal]:
+    """The conjunction found by taking the literal of greatest gain, again and again; a feature and
+    direction of ``not_first`` does not begin it."""
     literals: list[Literal] = []
     while len(literals) < max_literals:
         rows = (
@@ -224,6 +234,8 @@ def _grow(cells: DataFrame, names: list[str], cuts: dict, max_literals: int) ->
             for b, cut in enumerate(cuts[f]):
                 p, n = p + counts.get((f, b), (0, 0))[0], n + counts.get((f, b), (0, 0))[1]
                 for above, (p1, n1) in ((True, (p0 - p, n0 - n)), (False, (p, n))):
+                    if not literals and (f, above) in not_first:
+                        continue
                     gain = p1 * (math.log2(p1 / (p1 + n1)) - math.log2(p0 / (p0 + n0))) if p1 else 0.0
                     if gain > top + 1e-9:
                         best, top = Literal(f, above, cut, b), gain
