@@ -1,19 +1,21 @@
-"""Fuzzy line deduplication by SimHash (free style: Arrow batches and joins).
+"""Fuzzy line deduplication by blocks of words (free style: Arrow batches and joins).
 
 Lines are cut at newlines and normalised: A-Z in lower case, digits to 0, ASCII punctuation to
 space, words joined by one space. Equal normalised lines are one item. Two items are linked when
 the edit similarity of their words (1 - edit distance / words of the longer) is at least
-``similarity``. No other bound holds: SimHashes and runs of words only say which items meet.
+``similarity``.
 
-Which items meet: an item's SimHash has 64 bits over its distinct words, cut into ``blocks``
-blocks; each choice of ``intact`` blocks is a bucket key. That finds lines with close SimHashes;
-one word in ten changed moves some 9 bits, so most near lines are farther apart. All of them meet by
-runs of ``k`` words: a line's distinct runs are put in an order that is the same for all lines, and
+Which items meet is a matter of the pigeonhole principle: ``e`` edits cannot break ``e + 1`` blocks that
+lie apart. The blocks are runs of ``k`` words and not blocks of a SimHash: one word in ten changed
+moves some 9 of 64 bits, so SimHashes of near lines share no block that is long enough to tell lines apart
+(README). A line's distinct runs are put in an order that is the same for all lines, and
 the first ones are keys, until ``e + 1`` of them lie apart, if the line may have ``e`` edits. The
 first run in that order which two near lines share is then among the keys of both: the runs before
 it are all broken, and ``e`` edits cannot break ``e + 1`` runs that lie apart. Near lines do share
 one (``run_length``). Runs that are frequent in a sample come last in that order, which keeps
-buckets small; the sample changes no result. Lines too short for an edit have no near line.
+buckets small; the sample changes no result. Lines too short for an edit have no near line. Whether
+lines that met are near is first asked of 64 bits, each the parity of the words that fall on it: an edit
+changes at most two of them.
 
 Of every connected group one occurrence stays: the first by doc_id and place. Lines without a
 word always stay.
@@ -44,7 +46,6 @@ from fleetlake.llm.common import release, stored
 from fleetlake.llm.linking import link, shared_buckets
 from fleetlake.llm.text import Words, mix
 
-BLOCKS, INTACT = 4, 2
 SIMILARITY = 0.9
 RUN = 4  # words
 # Items looked at for frequent runs, and how many of those every task knows.
@@ -57,10 +58,6 @@ _NORMAL = bytes.maketrans(
 )
 
 
-# Bit i of a byte as byte i of a 64-bit number.
-_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-
-
 def normal_words(line: bytes) -> list[bytes]:
     return line.translate(_NORMAL).split()
 
@@ -69,27 +66,6 @@ def _key(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """64-bit SimHash of each list of words (none of them empty) over its distinct words.
-
-    A bit that half of the words have is that of the word with the least hash.
-    """
-    words = Words([b" ".join(dict.fromkeys(line)) for line in lines])
-    hashes, first = mix(words.hashes), words.bounds[:-1]
-    sizes = np.diff(words.bounds)
-    # Eight counters of a byte each fit a number; 255 words at a time cannot overflow them.
-    runs = -(-sizes // 255)
-    run_of = np.cumsum(runs) - runs
-    starts = np.repeat(first - 255 * run_of, runs) + 255 * np.arange(runs.sum())
-    lanes = _SPREAD[hashes.view(np.uint8).reshape(-1, 8)]
-    counts = np.add.reduceat(lanes, starts, axis=0).view(np.uint8).reshape(-1, 64)
-    if len(counts) > len(first):
-        counts = np.add.reduceat(counts, run_of, axis=0, dtype=np.int64)
-    twice = counts.astype(np.int64) * 2 - sizes[:, None]
-    tie = _SPREAD[np.minimum.reduceat(hashes, first).view(np.uint8).reshape(-1, 8)].view(np.uint8).reshape(-1, 64)
-    return np.packbits((twice > 0) | ((twice == 0) & (tie == 1)), axis=1, bitorder="little").view(np.int64).ravel()
-
-
 def edit_distance(a: list, b: list, most: int) -> int:
     """Insertions, deletions and replacements from ``a`` to ``b``, or ``most + 1`` if more.
 
@@ -203,8 +179,8 @@ def _text_keys(texts: list[bytes]) -> np.ndarray:
 
 
 def signed_lines(docs: DataFrame) -> DataFrame:
-    """A row for every line with a word: its document (``doc``, ``tkey``), place, key, SimHash,
-    number of words and parities."""
+    """A row for every line with a word: its document (``doc``, ``tkey``), place, key, number of
+    words and parities."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches):
@@ -219,7 +195,6 @@ def signed_lines(docs: DataFrame) -> DataFrame:
                         keys.append(key)
             if not keys:
                 continue
-            sim = dict(zip(seen, simhashes(list(seen.values())).tolist()))
             odd = dict(zip(seen, parities(Words([b" ".join(w) for w in seen.values()])).view(np.int64).tolist()))
             yield pa.record_batch(
                 [
@@ -227,31 +202,16 @@ def signed_lines(docs: DataFrame) -> DataFrame:
                     pa.array(_text_keys(texts).view(np.int64)[owner]),
                     pa.array(place, pa.int32()),
                     pa.array(keys, pa.binary()),
-                    pa.array([sim[k] for k in keys], pa.int64()),
                     pa.array([len(seen[k]) for k in keys], pa.int64()),
                     pa.array([odd[k] for k in keys], pa.int64()),
                 ],
-                names=["doc", "tkey", "line", "key", "sim", "n", "odd"],
+                names=["doc", "tkey", "line", "key", "n", "odd"],
             )
 
-    schema = "doc bigint, tkey bigint, line int, key binary, sim bigint, n bigint, odd bigint"
+    schema = "doc bigint, tkey bigint, line int, key binary, n bigint, odd bigint"
     return docs.mapInArrow(work, schema)
 
 
-def _block_masks(blocks: int) -> list[int]:
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    return [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
-
-
-def bucket_keys(blocks: int, intact: int):
-    """Array of the bucket keys of a row with ``sim``."""
-    masks = [sum(c) for c in itertools.combinations(_block_masks(blocks), intact)]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    return F.array(
-        *[F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m).cast("bigint"))) for i, m in enumerate(signed)]
-    )
-
-
 def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``id`` and normalised ``text`` of the items in ``wanted`` (``id``, ``key``)."""
     filter_ = membership.build(wanted, "key")
@@ -318,7 +278,7 @@ def alike(similarity: float):
     return test
 
 
-def repeated_lines(docs: DataFrame, blocks: int, intact: int, similarity: float) -> DataFrame:
+def repeated_lines(docs: DataFrame, similarity: float) -> DataFrame:
     """Stored rows: the places of the lines to remove, per document (``doc``, ``tkey``, ``lines``)."""
     lines = stored(signed_lines(docs), "lines")
     at = F.struct("doc", "tkey", "line")
@@ -326,19 +286,18 @@ def repeated_lines(docs: DataFrame, blocks: int, intact: int, similarity: float)
         lines.groupBy("key")
         .agg(
             F.min(at).alias("first"), F.max(at).alias("last"),
-            *[F.min(c).alias(c) for c in ("sim", "n", "odd")],
+            *[F.min(c).alias(c) for c in ("n", "odd")],
         )
         .withColumn("id", F.monotonically_increasing_id()),
         "line-items",
     )
     release(docs.sparkSession)
     shortest = next(n for n in itertools.count(1) if most_edits(n, similarity))
-    wanted = stored(items.where(F.col("n") >= shortest).select("id", "key", "sim"), "line-candidates")
-    texts = stored(_lines_of(docs, wanted.select("id", "key")), "line-texts")
+    wanted = stored(items.where(F.col("n") >= shortest).select("id", "key"), "line-candidates")
+    texts = stored(_lines_of(docs, wanted), "line-texts")
     release(docs.sparkSession)
     by_run = run_buckets(texts, frequent_runs(texts, wanted.count(), similarity), similarity)
-    by_sim = wanted.select("id", F.explode(bucket_keys(blocks, intact)).alias("bucket"))
-    members = shared_buckets(by_run.unionByName(by_sim), filtered=True)
+    members = shared_buckets(by_run, filtered=True)
 
     def close(pairs: DataFrame) -> DataFrame:
         for side in "ba":
@@ -363,13 +322,11 @@ def repeated_lines(docs: DataFrame, blocks: int, intact: int, similarity: float)
     return out
 
 
-def remove_lines(
-    docs: DataFrame, blocks: int = BLOCKS, intact: int = INTACT, similarity: float = SIMILARITY
-) -> DataFrame:
+def remove_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents with all their columns, ``text`` without the lines to remove, and with
     ``n_lines`` and ``n_removed`` added (lines with a word)."""
     narrow = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
-    gone = repeated_lines(narrow, blocks, intact, similarity)
+    gone = repeated_lines(narrow, similarity)
     touched = membership.build(gone, "tkey")
     names = [f.name for f in docs.schema.fields]
     extra = [T.StructField("__n_lines", T.LongType()), T.StructField("__n_removed", T.LongType())]

@@ -1,7 +1,7 @@
 """Fuzzy lines against brute force by edit similarity alone."""
 
+import functools
 import hashlib
-import itertools
 import random
 
 import numpy as np
@@ -15,18 +15,26 @@ SF = "/root/testdata/sf0.001"
 
 def near_pairs(lines):
     """Places of lines within an edit similarity of 0.9; lengths and shared words rule most out."""
-    sets = [set(line) for line in lines]
-    for a, b in itertools.combinations(range(len(lines)), 2):
-        longest = max(len(lines[a]), len(lines[b]))
-        if 10 * abs(len(lines[a]) - len(lines[b])) > longest:
-            continue
-        if 10 * max(len(sets[a] - sets[b]), len(sets[b] - sets[a])) > longest:
-            continue
-        if 10 * levenshtein(lines[a], lines[b]) <= longest:
-            yield a, b
+    number = {w: i for i, w in enumerate(dict.fromkeys(w for line in lines for w in line))}
+    words = [sum(1 << i for i in {number[w] for w in line}) for line in lines]  # a bit per distinct word
+    order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
+    for at, a in enumerate(order):
+        for b in order[at + 1 :]:
+            longest = len(lines[b])
+            if 10 * (longest - len(lines[a])) > longest:
+                break
+            if 10 * max((words[a] & ~words[b]).bit_count(), (words[b] & ~words[a]).bit_count()) > longest:
+                continue
+            if 10 * levenshtein(lines[a], lines[b]) <= longest:
+                yield a, b
 
 
 def plain_near_lines(docs):
+    return _plain_near_lines(tuple(docs))
+
+
+@functools.cache
+def _plain_near_lines(docs):
     first = {}
     for d, text in sorted(docs):
         for j, line in enumerate((text or "").encode().split(b"\n")):
