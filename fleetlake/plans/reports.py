@@ -123,32 +123,44 @@ class ReportRunner:
         write: Callable[[str, DataFrame], int] | None = None,
     ) -> dict:
         """Run reports over one read of Silver; a failing report is recorded, the rest go on."""
+        self.check(names)
+        try:
+            silver = read_silver(self.spark, silver_dir)
+            input_rows, unreadable = silver.count(), None
+        except Exception as error:
+            silver, input_rows, unreadable = None, None, error
+        return self.run_each(dict.fromkeys(names, silver), input_rows, write, unreadable)
+
+    def check(self, names: list[str]) -> None:
         available = self.available()
         unknown = [n for n in names if n not in available]
         if unknown:
             raise ValueError(
                 f"Unknown reports: {unknown}. Available reports: {', '.join(available)}"
             )
+
+    def run_each(
+        self,
+        tables: dict[str, DataFrame | None],
+        input_rows: int | None,
+        write: Callable[[str, DataFrame], int] | None = None,
+        unreadable: Exception | None = None,
+    ) -> dict:
+        """Run each report over its table; a failing report is recorded, the rest go on."""
         started = time.time()
         results: dict[str, dict] = {}
-        silver, input_rows, unreadable = None, None, None
-        try:
-            silver = read_silver(self.spark, silver_dir)
-            input_rows = silver.count()
-        except Exception as error:
-            unreadable = error
-        for name in names:
+        for name, table in tables.items():
             try:
                 if unreadable is not None:
                     raise unreadable
-                results[name] = self.run(name, silver, input_rows, write)
+                results[name] = self.run(name, table, input_rows, write)
             except Exception as error:
                 results[name] = {"status": "failed", "error": str(error), "report_name": name}
         return {
             "status": "completed",
-            "total_reports": len(names),
-            "successful_reports": [n for n in names if results[n]["status"] == "completed"],
-            "failed_reports": [n for n in names if results[n]["status"] == "failed"],
+            "total_reports": len(tables),
+            "successful_reports": [n for n in tables if results[n]["status"] == "completed"],
+            "failed_reports": [n for n in tables if results[n]["status"] == "failed"],
             "total_duration_ms": round((time.time() - started) * 1000, 2),
             "results": results,
         }

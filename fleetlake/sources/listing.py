@@ -35,11 +35,16 @@ class Tree:
     def __len__(self) -> int:
         return len(self.files) + len(self.hidden)
 
+    def relative(self) -> list[tuple[str, str]]:
+        """Folder, relative to the root, and name of every file."""
+        start = len(_place(self.path)) + 1
+        parted = (_place(f)[start:].rpartition("/") for f in [*self.files, *self.hidden])
+        return [(folder, name) for folder, _, name in parted]
+
     @cached_property
     def folders(self) -> set[str]:
         """Folders with files, relative to the root."""
-        start = len(_place(self.path)) + 1
-        return {_place(f)[start:].rpartition("/")[0] for f in [*self.files, *self.hidden]}
+        return {folder for folder, _ in self.relative()}
 
     @cached_property
     def levels(self) -> set[tuple[str, ...]]:
