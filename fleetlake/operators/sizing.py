@@ -7,11 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlake.sources.scratch import stored
+
 # Assumed Parquet size relative to JSON text, and bytes in a megabyte.
 PARQUET_TO_JSON = 0.3
 MEGABYTE = 1024 * 1024
 # Rows of a file that share a join key.
 ROWS_PER_BLOCK = 250_000
+# A list of blocks of at most this many rows (some 100 bytes each) is sent to every executor.
+MAX_BROADCAST_BLOCKS = 500_000
 
 # Column separator and key separator of common JSON text (", " and ": ") add one blank each.
 _LIST_ITEM_SEPARATOR = 2
@@ -95,3 +99,85 @@ def split_by_size(
         .join(offsets, ["__file", "__block"])
         .select(*table.columns, chunk.cast("bigint").alias("chunk_id"))
     )
+
+
+def split_by_bytes(
+    table: DataFrame, max_size_mb: float = 125.0, row_length: Column | None = None
+) -> DataFrame:
+    """Add ``chunk_id``: runs of rows in file order, none of which is estimated above ``max_size_mb``,
+    unless it is a single row that is larger by itself.
+
+    ``table`` must be read straight from Parquet. Rows of more than a quarter of the limit are chunks
+    of their own; all others are cut where the sum of those before passes a multiple of the
+    limit less the largest of them. The sums are taken over blocks of rows. Only blocks in which a cut
+    falls are looked at row by row, and of these only the lengths; what the rows get is the list of
+    their block's cuts. So nothing is sorted as a whole, and no row moves while the list of blocks is
+    small enough to be sent to every executor.
+    """
+    limit = int(max_size_mb * MEGABYTE / PARQUET_TO_JSON)
+    if limit < 1:
+        raise ValueError("max_size_mb must be positive")
+    length = (json_length(table) if row_length is None else row_length) + _LIST_ITEM_SEPARATOR
+    heavy = F.col("length") * 4 > limit
+    sizes = table.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.floor(F.col("_metadata.row_index") / ROWS_PER_BLOCK).alias("block"),
+        F.col("_metadata.row_index").alias("row"),
+        length.cast("bigint").alias("length"),
+    )
+    light = F.when(~heavy, F.col("length")).otherwise(0)
+    blocks = stored(
+        sizes.groupBy("file", "block").agg(
+            F.sum(light).alias("light"), F.count_if(heavy).alias("heavy"), F.max(light).alias("largest")
+        ),
+        "chunk-blocks",
+    )
+    largest = blocks.agg(F.coalesce(F.max("largest"), F.lit(0))).first()[0]
+    step = F.lit(limit - largest).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+
+    def before(column: Column, order) -> Column:
+        return F.coalesce(F.sum(column).over(order.rowsBetween(W.unboundedPreceding, -1)), zero)
+
+    def part(so_far: Column) -> Column:
+        return F.call_function("div", so_far, step)
+
+    # One row per block.
+    by_block = W.orderBy("file", "block")
+    placed = stored(
+        blocks.select(
+            "file", "block", "light", "heavy",
+            before(F.col("light"), by_block).alias("light_before"),
+            before(F.col("heavy"), by_block).alias("heavy_before"),
+        ),
+        "chunk-places",
+    )
+    whole = (F.col("heavy") == 0) & (part(F.col("light_before")) == part(F.col("light_before") + F.col("light")))
+    uncut = placed.where(whole).select(
+        "file", "block", (F.col("block") * ROWS_PER_BLOCK).alias("row"),
+        part(F.col("light_before")).alias("part"), (2 * F.col("heavy_before")).alias("run"),
+    )
+    by_row = W.partitionBy("file", "block").orderBy("row")
+    rows = sizes.join(placed.where(~whole).drop("light", "heavy"), ["file", "block"])
+    run = 2 * (F.col("heavy_before") + before(heavy.cast("bigint"), by_row)) + heavy.cast("bigint")
+    cut = (
+        rows.select("file", "block", "row", part(F.col("light_before") + before(light, by_row)).alias("part"), run.alias("run"))
+        .groupBy("file", "block", "part", "run").agg(F.min("row").alias("row"))
+    )
+    cuts = stored(uncut.unionByName(cut), "chunk-cuts")
+    # One row per chunk.
+    numbers = cuts.select("part", "run").distinct().withColumn("chunk", F.row_number().over(W.orderBy("part", "run")) - 1)
+    of_block = cuts.join(numbers, ["part", "run"]).groupBy(F.col("file").alias("__file"), F.col("block").alias("__block")).agg(
+        F.array_sort(F.collect_list(F.struct("row", F.col("chunk").cast("bigint").alias("chunk")))).alias("__cuts")
+    )
+    of_block = stored(of_block, "chunk-map")
+    if of_block.count() <= MAX_BROADCAST_BLOCKS:
+        of_block = F.broadcast(of_block)
+    located = table.select(
+        "*",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.row_index").alias("__row"),
+        F.floor(F.col("_metadata.row_index") / ROWS_PER_BLOCK).alias("__block"),
+    )
+    passed = F.filter("__cuts", lambda c: c["row"] <= F.col("__row"))
+    return located.join(of_block, ["__file", "__block"]).select(*table.columns, F.element_at(passed, -1)["chunk"].alias("chunk_id"))

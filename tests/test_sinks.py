@@ -1,11 +1,13 @@
 import json
+import random
 from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlake.operators.sizing import estimate_parquet_size_mb, json_length, split_by_size
+from fleetlake.operators import sizing
+from fleetlake.operators.sizing import estimate_parquet_size_mb, json_length, split_by_bytes, split_by_size
 from fleetlake.sinks import ParquetWriteError, write_parquet, write_table, write_unpartitioned
 
 
@@ -130,3 +132,44 @@ def test_size_estimate_and_chunks(spark, folder):
     assert estimate_parquet_size_mb(table.limit(0)).first()["estimated_mb"] == 0.0
     # More chunks asked for than rows: one row each.
     assert split_by_size(table, 0.00001).groupBy("chunk_id").count().agg(F.max("count")).first()[0] == 1
+
+
+@pytest.mark.parametrize("limit_mb, block", [(0.0004, 7), (0.003, 64), (0.02, 1000), (5.0, 10)])
+def test_no_chunk_is_above_the_limit(spark, folder, monkeypatch, limit_mb, block):
+    monkeypatch.setattr(sizing, "ROWS_PER_BLOCK", block)
+    rng = random.Random(block)
+    rows = [(i, "x" * rng.choice([0, 1, 5, 40, rng.randrange(900)])) for i in range(600)] + [(600, "x" * 90_000)]
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "i long, t string").repartition(3).write.parquet(folder)
+    table = spark.read.parquet(folder)
+    got = split_by_bytes(table, limit_mb, F.length("t"))
+    at = got.withColumn("size", F.length("t") + 2)
+    limit = int(limit_mb * 1024 * 1024 / 0.3)
+    chunks = at.groupBy("chunk_id").agg(F.sum("size").alias("s"), F.count("*").alias("n")).orderBy("chunk_id").collect()
+    assert [r["chunk_id"] for r in chunks] == list(range(len(chunks))) and sum(r["n"] for r in chunks) == 601
+    assert all(r["s"] <= limit or r["n"] == 1 for r in chunks)
+    # Chunks are runs in file order, and no more than needed.
+    order = table.select("i", "_metadata.file_path", "_metadata.row_index").orderBy("file_path", "row_index").collect()
+    of = {r["i"]: r["chunk_id"] for r in got.collect()}
+    ids = [of[r["i"]] for r in order]
+    assert ids == sorted(ids)
+    light = sum(r["s"] for r in chunks if 4 * r["s"] <= limit or r["n"] > 1)
+    heavy = sum(1 for _, t in rows if 4 * (len(t) + 2) > limit)
+    assert len(chunks) <= light / (0.75 * limit) + 2 * heavy + 1
+
+
+def test_byte_chunks_of_nothing(spark, folder):
+    spark.createDataFrame([], "t string").write.parquet(folder)
+    assert split_by_bytes(spark.read.schema("t string").parquet(folder), 1.0).count() == 0
+
+
+@pytest.mark.parametrize("codec", ["zstd", "uncompressed"])
+def test_files_follow_the_measured_size(spark, folder, codec):
+    rng = random.Random(4)
+    rows = [(f"{rng.getrandbits(300):x}", rng.random()) for _ in range(20_000)]
+    frame_ = spark.createDataFrame(rows, "t string, x double").coalesce(1)
+    stats = write_unpartitioned(frame_, folder, max_file_size_mb=0.1, bytes_per_row=None, compression=codec, keep_order=True)
+    sizes = sorted(p.stat().st_size for p in Path(folder).glob("*.parquet"))
+    assert stats.files_written == len(sizes) > 8
+    assert sum(80_000 <= s <= 120_000 for s in sizes) >= len(sizes) - 1
+    assert write_table(frame(spark, []), f"{folder}-none", bytes_per_row=None).rows == 0
