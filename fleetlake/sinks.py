@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from fleetlake.functions.text import pad2
 from fleetlake.sources.listing import files_in
+from fleetlake.sources.scratch import scratch_path
 from fleetlake.sources.storage import Storage
 
 # Default layout, codec names, size cap and the assumed size of a row.
@@ -19,6 +20,8 @@ DATE_HOUR = ["date", "hour"]
 CODECS = ["lz4", "uncompressed", "snappy", "gzip", "lzo", "brotli", "zstd"]
 MAX_FILE_SIZE_MB = 125.0
 BYTES_PER_ROW = 1_000
+# Rows written to scratch to learn their encoded size, where it is asked for.
+MEASURED_ROWS = 200_000
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Characters a partition directory name holds as %XX.
@@ -67,7 +70,7 @@ def write_table(
     *,
     partition_columns: list[str] | None = None,
     max_file_size_mb: float = MAX_FILE_SIZE_MB,
-    bytes_per_row: int = BYTES_PER_ROW,
+    bytes_per_row: int | None = BYTES_PER_ROW,
     compression: str = "zstd",
     clustered: bool = False,
 ) -> WriteStats:
@@ -77,7 +80,8 @@ def write_table(
     Rows are rebalanced on the partition columns: each directory goes to one task, a hot one
     is split over several, tiny ones share a task. ``clustered`` skips that shuffle for input
     whose files already hold one partition each. A frame without ``timestamp`` is written
-    unpartitioned.
+    unpartitioned. Files are cut at ``max_file_size_mb`` by their number of rows, from ``bytes_per_row``;
+    None measures it on the first rows.
     """
     _check_codec(compression)
     if "timestamp" not in df.columns:
@@ -96,6 +100,7 @@ def write_table(
     table = dated.select(
         *[F.col(f"`{c}`") for c in body], *[partition_text(k, types[k]).alias(k) for k in keys]
     )
+    cap = _row_cap(table, max_file_size_mb, bytes_per_row, compression)
     if not clustered:
         table = table.hint("rebalance", *keys)
     # Last before the write, so that a repeated shuffle stage cannot count rows twice. The set
@@ -112,7 +117,7 @@ def write_table(
         table.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
-        .option("maxRecordsPerFile", _rows_per_file(max_file_size_mb, bytes_per_row))
+        .option("maxRecordsPerFile", cap)
         .partitionBy(*keys)
         .parquet(path)
     )
@@ -126,7 +131,7 @@ def write_unpartitioned(
     path: str,
     *,
     max_file_size_mb: float = MAX_FILE_SIZE_MB,
-    bytes_per_row: int = BYTES_PER_ROW,
+    bytes_per_row: int | None = BYTES_PER_ROW,
     compression: str = "zstd",
     keep_order: bool = False,
 ) -> WriteStats:
@@ -140,13 +145,14 @@ def write_unpartitioned(
     storage = Storage(df.sparkSession)
     if storage.exists(path) and df.isEmpty():
         return WriteStats()
+    cap = _row_cap(df, max_file_size_mb, bytes_per_row, compression)
     seen = Observation()
     parts = df if keep_order else df.hint("rebalance")
     (
         parts.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("compression", compression)
-        .option("maxRecordsPerFile", _rows_per_file(max_file_size_mb, bytes_per_row))
+        .option("maxRecordsPerFile", cap)
         .parquet(path)
     )
     rows = seen.get["rows"]
@@ -192,7 +198,21 @@ def _check_codec(compression: str) -> None:
         raise ParquetWriteError(f"Unknown compression {compression!r}; use one of {CODECS}")
 
 
-def _rows_per_file(max_file_size_mb: float, bytes_per_row: int) -> int:
+def measured_bytes_per_row(df: DataFrame, compression: str = "zstd", rows: int = MEASURED_ROWS) -> int:
+    """Encoded bytes of a row, from files written of the first ``rows`` rows; the assumed size if there
+    are none. What it reads is bounded, however large the frame is."""
+    path = scratch_path(df.sparkSession, "measured")
+    # One file, as small ones are mostly footers and dictionaries.
+    df.limit(rows).coalesce(1).write.option("compression", compression).parquet(path)
+    files = df.sparkSession.read.schema(df.schema).parquet(path).select("_metadata.file_path", "_metadata.file_size")
+    sized = files.groupBy("file_path").agg(F.max("file_size").alias("size"), F.count(F.lit(1)).alias("n"))
+    size, n = sized.agg(F.sum("size"), F.sum("n")).first()
+    return max(1, round(size / n)) if n else BYTES_PER_ROW
+
+
+def _row_cap(df: DataFrame, max_file_size_mb: float, bytes_per_row: int | None, compression: str) -> int:
+    if bytes_per_row is None:
+        bytes_per_row = measured_bytes_per_row(df, compression)
     return max(1, int(max_file_size_mb * 1_000_000 / bytes_per_row))
 
 
