@@ -179,7 +179,6 @@ def encode(docs: DataFrame, held_out: Column, vocabulary: Vocabulary) -> DataFra
     """One row per document: classes of its tokens (16-bit), sums over the tokens of the
     dictionary, and its other tokens with their numbers."""
     shared = _Shared(docs.sparkSession.sparkContext.broadcast(vocabulary))
-    tail_type = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.broadcast.value
@@ -190,7 +189,8 @@ def encode(docs: DataFrame, held_out: Column, vocabulary: Vocabulary) -> DataFra
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                rows, lengths, known, base, share, classes, tails = [], [], [], [], [], [], []
+                rows, lengths, known, base, share, classes = [], [], [], [], [], []
+                names, numbers, ends = [], [], [0]  # of the other tokens, text after text
                 for text in part.column("text").to_pylist():
                     tokens = tokens_of(text)
                     ids = np.fromiter((number.get(t, -1) for t in tokens), np.int64, len(tokens))
@@ -203,9 +203,9 @@ def encode(docs: DataFrame, held_out: Column, vocabulary: Vocabulary) -> DataFra
                     else:
                         out[:-1][seen] = classes_of[ids[seen]]
                         other = np.flatnonzero(~seen)
-                        names = [tokens[i] for i in other]
-                        out[:-1][other] = [n_own + 1 + zlib.crc32(t) % n_shared for t in names]
-                        tail = Counter(names)
+                        unknown = [tokens[i] for i in other]
+                        out[:-1][other] = [n_own + 1 + zlib.crc32(t) % n_shared for t in unknown]
+                        tail = Counter(unknown)
                         ids = ids[seen]
                     rows.append(row)
                     row += 1
@@ -214,12 +214,16 @@ def encode(docs: DataFrame, held_out: Column, vocabulary: Vocabulary) -> DataFra
                     base.append(float(base_of[ids].sum()) + end_base)
                     share.append(float(share_of[ids].sum()))
                     classes.append(out.tobytes())
-                    tails.append([{"token": t, "n": n} for t, n in tail.items()])
+                    names += tail.keys()
+                    numbers += tail.values()
+                    ends.append(len(names))
+                pairs = pa.StructArray.from_arrays([pa.array(names, pa.binary()), pa.array(numbers, pa.int64())], ["token", "n"])
+                tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
                 yield pa.record_batch(
                     [
                         pa.array(rows, pa.int64()), part.column("doc_id"), part.column("held_out"),
                         pa.array(lengths, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                        pa.array(share, pa.float64()), pa.array(classes, pa.binary()), pa.array(tails, tail_type),
+                        pa.array(share, pa.float64()), pa.array(classes, pa.binary()), tails,
                     ],
                     names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "share", "classes", "tail"],
                 )
@@ -302,11 +306,15 @@ class Expectations:
         seen = model.emit[steps]  # [step, chain, state]
         alpha, scale, one = np.zeros(seen.shape), np.ones(steps.shape), np.ones(len(model.start))
         for t, k in enumerate(active):
-            prior = alpha[t - 1, :k] if t else before
-            now = (model.start if prior is None else prior[:k] @ model.move) * seen[t, :k]
+            prior, now = alpha[t - 1] if t else before, alpha[t, :k]
+            if prior is None:
+                now[:] = model.start
+            else:
+                np.matmul(prior[:k], model.move, out=now)
+            now *= seen[t, :k]
             total = now @ one
+            now /= total[:, None]
             scale[t, :k] = total
-            np.divide(now, total[:, None], out=alpha[t, :k])
         return steps, active, seen, alpha, scale
 
     def add(self, chains: list[np.ndarray]) -> None:
