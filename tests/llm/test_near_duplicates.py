@@ -132,6 +132,11 @@ def test_near_edges(spark):
 
 
 def levenshtein(a, b):
+    # What both begin or end with takes no edit.
+    n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    a, b = a[n:], b[n:]
+    n = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b))) if x != y), min(len(a), len(b)))
+    a, b = a[: len(a) - n], b[: len(b) - n]
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         new = [i]
