@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from fleetlake.llm import membership
 from fleetlake.llm.common import blocks as text_blocks
 from fleetlake.llm.common import release, stored
-from fleetlake.llm.linking import link, shared_buckets
+from fleetlake.llm.linking import Traits, link, shared_buckets
 from fleetlake.llm.text import Words, mix
 
 SIMILARITY = 0.9
@@ -259,20 +259,40 @@ def run_buckets(texts: DataFrame, frequent: np.ndarray, similarity: float) -> Da
     return texts.select("id", F.col("text").cast("string")).mapInArrow(work, "id bigint, bucket bigint")
 
 
+def may_be_near(similarity: float):
+    """For linking.py: which lines may be near, by their numbers of words and their parities."""
+
+    def may_link(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+        (m, a), (n, b) = one, other
+        most = (np.maximum(m[:, None], n[None, :]) * (1 - similarity) + 1e-9).astype(np.int64)
+        found = abs(m[:, None] - n[None, :]) <= most
+        found &= np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) <= 2 * most
+        return found
+
+    return may_link
+
+
 def alike(similarity: float):
     """Test for linking.py: which pairs of normalised lines are near."""
+    may_link = may_be_near(similarity)
+
+    def numbers(lines: list[bytes]) -> list[np.ndarray]:
+        words = Words(lines)
+        return [np.diff(words.bounds), parities(words)]
 
     def test(one: list[bytes], other: list[bytes]) -> np.ndarray:
-        words = [[line.split() for line in lines] for lines in (one, other)]
-        bags = [[Counter(line) for line in lines] for lines in words]
-        m, n = (np.array([len(line) for line in lines]) for lines in words)
-        a, b = (parities(Words(lines)) for lines in (one, other))
-        most = (np.maximum(m[:, None], n[None, :]) * (1 - similarity) + 1e-9).astype(np.int64)
-        found = abs(m[:, None] - n[None, :]) <= most
-        found &= np.bitwise_count(a[:, None] ^ b[None, :]) <= 2 * most
-        for i, j in np.argwhere(found):
+        found = may_link(numbers(one), numbers(other))
+        # Only lines that may have a near one are split.
+        words, bags = ({}, {}), ({}, {})
+        for i, j in np.argwhere(found).tolist():
+            for side, at, lines in ((0, i, one), (1, j, other)):
+                if at not in words[side]:
+                    words[side][at] = split = lines[at].split()
+                    bags[side][at] = Counter(split)
+            a, b = words[0][i], words[1][j]
+            longest = max(len(a), len(b))
             common = sum((bags[0][i] & bags[1][j]).values())
-            found[i, j] = common >= max(m[i], n[j]) - most[i, j] and similar(words[0][i], words[1][j], similarity)
+            found[i, j] = common >= longest - int(longest * (1 - similarity) + 1e-9) and similar(a, b, similarity)
         return found
 
     return test
@@ -297,19 +317,8 @@ def repeated_lines(docs: DataFrame, similarity: float) -> DataFrame:
     texts = stored(_lines_of(docs, wanted), "line-texts")
     release(docs.sparkSession)
     by_run = run_buckets(texts, frequent_runs(texts, wanted.count(), similarity), similarity)
-    members = shared_buckets(by_run, filtered=True)
-
-    def close(pairs: DataFrame) -> DataFrame:
-        for side in "ba":
-            of = [F.col("id").alias(side), F.col("n").alias(f"{side}_n"), F.col("odd").alias(f"{side}_odd")]
-            pairs = pairs.join(items.select(*of), side)
-        most = F.floor(F.greatest("a_n", "b_n") * F.lit(1 - similarity) + F.lit(1e-9))
-        near = (F.abs(F.col("a_n") - F.col("b_n")) <= most) & (
-            F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * most
-        )
-        return pairs.where(near).select("a", "b")
-
-    labels = link(members, texts, alike(similarity), close)
+    members = shared_buckets(by_run, at_once=True)
+    labels = link(members, texts, alike(similarity), Traits(items, ["n", "odd"], may_be_near(similarity)))
 
     labelled = stored(items.join(labels, "id").select("key", "label", "first"), "labelled-lines")
     firsts = labelled.groupBy("label").agg(F.min("first").alias("stays"))

@@ -5,19 +5,26 @@ components of the links. First every member is tested against one hub of its buc
 classes so far are formed. A bucket whose members are all in the hub's class is done: a bucket of
 like items costs one test each. For the rest, buckets with hubs of one class make up an arena.
 There, every member outside the hub's class is tested against all members, in blocks of bounded
-size: a block is one task's work and gives out links, not pairs. Then all pairs that could join
-two classes have been tested, so the classes are exact for these buckets.
+size: a block is one task's work and gives out links, not pairs, and of these only as many as connect
+what they connect. Then all pairs that could join two classes have been tested, so the classes are
+exact for these buckets.
+
+Where numbers of an item (``traits``) can rule a link out, they are compared first, and texts are
+fetched only for items that have someone left to be tested with.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.llm import membership
 from fleetlake.llm.common import BLOCK_BYTES, release, stored
@@ -29,30 +36,47 @@ BLOCK = 128
 Test = Callable[[list[bytes], list[bytes]], np.ndarray]
 
 
-def shared_buckets(buckets: DataFrame, filtered: bool = False) -> DataFrame:
+@dataclass(frozen=True)
+class Traits:
+    """Numbers of every item: ``table`` has ``id`` and ``columns``, all bigint. ``may_link`` takes the
+    columns of two lists of items and gives a matrix, false only where the test would refuse."""
+
+    table: DataFrame
+    columns: list[str]
+    may_link: Callable[[list[np.ndarray], list[np.ndarray]], np.ndarray]
+
+
+def shared_buckets(buckets: DataFrame, at_once: bool = False) -> DataFrame:
     """Stored rows (``bucket``, ``id``, ``hub``) of buckets with several members.
 
-    ``buckets`` (``bucket``, ``id``: both bigint, rows distinct) is computed twice. ``filtered``:
-    where most buckets have one member, those are left out before rows are moved again.
+    ``buckets`` (``bucket``, ``id``: both bigint, rows distinct) is computed twice; ``at_once``: once, for
+    buckets that are dear to compute, and its rows are sorted by bucket.
     """
+    if at_once:
+        whole = W.partitionBy("bucket")
+        counted = buckets.select("bucket", "id", F.min("id").over(whole).alias("hub"), F.count(F.lit(1)).over(whole).alias("n"))
+        members = stored(counted.where("n > 1").select("bucket", "id", "hub"), "members")
+        release(buckets.sparkSession)
+        return members
     several = stored(
         buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "several",
     )
     release(buckets.sparkSession)
-    if filtered:
-        buckets = _filtered(buckets, membership.build(several, "bucket"))
     members = stored(buckets.join(several, "bucket").select("bucket", "id", "hub"), "members")
     release(buckets.sparkSession)
     return members
 
 
-def _filtered(buckets: DataFrame, may_have: membership.Filter) -> DataFrame:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(may_have(batch.column("bucket").to_numpy())))
+def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts without most of those whose ``id`` is not in ``ids``; only numbers go to Python."""
+    may_have = membership.build(ids, "id")
+
+    def listed(values):
+        return pa.array(may_have(values.to_numpy()))
 
-    return buckets.select("bucket", "id").mapInArrow(work, "bucket bigint, id bigint")
+    listed.__annotations__ = {"values": pa.Array, "return": pa.Array}
+    return texts.where(F.arrow_udf(listed, T.BooleanType())("id"))
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -90,7 +114,42 @@ def _slices_by_bytes(texts: pa.ChunkedArray) -> Iterator[slice]:
         at = to
 
 
-def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test) -> DataFrame:
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of links (``a``, ``b``) that connect all that the links do, one fewer than what they connect."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.setdefault(x, x)) != x:
+            root[x] = x = root[y]
+        return x
+
+    kept = []
+    for at, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            kept.append(at)
+    return np.array(kept, np.int64)
+
+
+def _with_partners(blocks: DataFrame, traits: Traits) -> DataFrame:
+    """The rows of blocks that have an item of another class left on the other side."""
+    wanted, columns, may_link = blocks.columns, traits.columns, traits.may_link
+
+    def work(table: pa.Table) -> pa.Table:
+        query = table.column("query").to_numpy()
+        sides = [table.filter(pa.array(rows)) for rows in (query, ~query)]
+        one, other = ([side.column(c).to_numpy() for c in columns] for side in sides)
+        left = may_link(one, other)
+        left &= sides[0].column("label").to_numpy()[:, None] != sides[1].column("label").to_numpy()[None, :]
+        sides = [side.filter(pa.array(left.any(axis=axis))) for side, axis in zip(sides, (1, 0))]
+        return pa.concat_tables(sides).select(wanted)
+
+    described = blocks.join(traits.table.select("id", *columns), "id").select(*wanted, *columns)
+    return described.groupBy("arena", "i", "j").applyInArrow(work, blocks.schema)
+
+
+def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test, traits: Traits | None) -> DataFrame:
     """Links between members (``arena``, ``id``, ``label``) outside an arena's class and all of it."""
     outside = F.col("label") != F.col("arena")
     sizes = arenas.groupBy("arena").agg(
@@ -118,20 +177,53 @@ def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test) -> DataFr
                 texts = [side.column("text").slice(s.start, s.stop - s.start).to_pylist() for side, s in zip(sides, (rows, columns))]
                 found[rows, columns] = test(*texts)
         i, j = np.nonzero(found & (one[:, None] != other[None, :]))
-        # One link to each class is enough.
-        _, first = np.unique(np.column_stack([one[i], other[j]]), axis=0, return_index=True) if len(i) else (None, i)
+        # Links between classes, no more than connect them.
+        first = _forest(one[i], other[j])
         return pa.table({"a": a[i[first]], "b": b[j[first]]})
 
-    both = queries.unionByName(answers).join(texts, "id")
-    return both.groupBy("arena", "i", "j").applyInArrow(work, "a bigint, b bigint")
+    both = queries.unionByName(answers)
+    if traits is not None:
+        both = stored(_with_partners(both, traits), "arena-partners")
+        texts = _only(texts, both)
+    return both.join(texts, "id").groupBy("arena", "i", "j").applyInArrow(work, "a bigint, b bigint")
+
 
+def _near_hubs(members: DataFrame, traits: Traits) -> DataFrame:
+    """The pairs of a hub and another member (``a``, ``b``) that the traits leave. A hub is the least
+    of its members, so it comes first among them."""
+    columns, may_link = traits.columns, traits.may_link
+    described = members.select("hub", "id").distinct().join(traits.table.select("id", *columns), "id")
 
-def link(members: DataFrame, texts: DataFrame, test: Test, close: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, of_hub = None, []
+        for batch in batches:
+            hubs, ids = batch.column("hub").to_numpy(), batch.column("id").to_numpy()
+            numbers = [batch.column(c).to_numpy() for c in columns]
+            edges = np.flatnonzero(np.diff(hubs)) + 1
+            kept = [np.empty(0, np.int64)]
+            for at, to in zip([0, *edges], [*edges, len(hubs)] if len(hubs) else []):
+                if hubs[at] != hub:
+                    hub, of_hub = hubs[at], [c[at : at + 1] for c in numbers]
+                near = may_link(of_hub, [c[at:to] for c in numbers])[0] & (ids[at:to] != hub)
+                kept.append(at + np.flatnonzero(near))
+            rows = np.concatenate(kept)
+            yield pa.record_batch([pa.array(hubs[rows]), pa.array(ids[rows])], names=["a", "b"])
+
+    dealt = described.select("hub", "id", *columns).repartition("hub").sortWithinPartitions("hub", "id")
+    return dealt.mapInArrow(work, "a bigint, b bigint")
+
+
+def link(members: DataFrame, texts: DataFrame, test: Test, traits: Traits | None = None) -> DataFrame:
     """``id`` and ``label`` of every item that has a link. ``members``: see ``shared_buckets``;
-    ``texts`` has ``id`` and ``text`` (binary) of them all. ``close`` may drop pairs with a hub
-    (``a``, ``b``) that the test would refuse, before their texts are fetched."""
-    pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(_tested(stored(close(pairs) if close else pairs, "pairs"), texts, test), "links")
+    ``texts`` has ``id`` and ``text`` (binary) of them all."""
+    if traits is None:
+        pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+        links = stored(_tested(stored(pairs, "pairs"), texts, test), "links")
+    else:
+        pairs = stored(_near_hubs(members, traits), "pairs")
+        release(members.sparkSession)
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+        links = stored(_tested(pairs, _only(texts, ids), test), "links")
     labels = components(links)
     named = labels.withColumnRenamed("id", "__id")
     at = members.join(named, F.col("id") == F.col("__id"), "left").select(
@@ -143,7 +235,7 @@ def link(members: DataFrame, texts: DataFrame, test: Test, close: Callable[[Data
     unlike = at.groupBy("bucket").agg(arena, *classes).where("l < m AND n > 2")
     arenas = stored(at.join(stored(unlike, "open"), "bucket").select("arena", "id", "label").distinct(), "arena-members")
     release(members.sparkSession)
-    more = stored(_tested_in_blocks(arenas, texts, test), "links")
+    more = stored(_tested_in_blocks(arenas, texts, test, traits), "links")
     if more.isEmpty():
         return labels
     chain = labels.select(F.col("label").alias("a"), F.col("id").alias("b"))

@@ -232,3 +232,54 @@ def test_pipeline_packs_what_is_left(spark, stages):
     assert sorted(map(tuple, got.select("doc_id", "start", "ids_crc32").collect())) == sorted(
         map(tuple, stages[-1][1].select("doc_id", "start", "ids_crc32").collect())
     )
+
+
+def test_links_of_a_block_only_connect():
+    # 40 items on either side, all linked: 1,600 links, of which 79 are enough.
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(100, 140)))
+    kept = linking._forest(a, b)
+    assert len(kept) == 79
+    classes = Classes([*range(40), *range(100, 140)])
+    for x, y in zip(a[kept].tolist(), b[kept].tolist()):
+        classes.join(x, y)
+    assert {classes.find(x) for x in classes.parent} == {0}
+
+
+def test_components_read_fewer_edges_every_round(spark, monkeypatch):
+    # A long chain with hubs: the edges within a label are gone in the next round.
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(2000)]
+    seen = []
+
+    def count(df, name):
+        if name == "edges":
+            seen.append(df.count())
+        return kept(df, name)
+
+    kept = components.stored
+    monkeypatch.setattr(components, "stored", count)
+    components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert all(later * 2 < earlier for earlier, later in zip(seen, seen[1:]))
+    assert seen[-1] == 0
+
+
+def test_traits_rule_out_pairs_and_change_no_class(spark):
+    # Two chains in one bucket; by their traits only near places may be linked.
+    rows = [(1, i) for i in range(300)] + [(2, i) for i in range(0, 300, 2)]
+    members = linking.shared_buckets(spark.createDataFrame(rows, "bucket long, id long"), at_once=True)
+    texts = spark.createDataFrame([(i, str(i).encode()) for i in range(300)], "id long, text binary")
+    table_ = spark.createDataFrame([(i, i) for i in range(300)], "id long, place long")
+    asked = spark.sparkContext.accumulator(0)
+
+    def may_link(one, other):
+        return abs(one[0][:, None] - other[0][None, :]) <= 3
+
+    def test(one, other):
+        a, b = np.array([int(x) for x in one])[:, None], np.array([int(x) for x in other])[None, :]
+        asked.add(a.size + b.size)
+        return (abs(a - b) == 1) & (np.maximum(a, b) % 20 != 0)
+
+    traits = linking.Traits(table_, ["place"], may_link)
+    got = {r["id"]: r["label"] for r in linking.link(members, texts, test, traits).collect()}
+    assert got == {i: i // 20 * 20 for i in range(300)}
+    assert asked.value > 0
