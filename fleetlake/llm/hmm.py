@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +43,8 @@ DICTIONARY = 262_144
 LONGEST = 64  # bytes of a token of the dictionary; longer ones are joined
 SEGMENT = 512
 SIDE_BY_SIDE = 256
+# Tokens gathered (two bytes each) before chains are dealt to groups.
+POOL = 1 << 23
 SMOOTHING = 0.1
 PRIOR_TOKENS = 2000
 _FLUSH = 400_000
@@ -355,6 +357,27 @@ class Expectations:
                 self.emit[:, s] += np.bincount(flat, used[:, s], minlength=len(self.emit))
 
 
+def groups_of_like_length(chains: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Groups of ``SIDE_BY_SIDE`` chains, of falling length. ``POOL`` tokens are gathered before they are
+    dealt, so that few groups run on for the sake of one long chain. A chain counts as 128 more, for
+    what an array takes by itself."""
+
+    def dealt():
+        waiting.sort(key=len, reverse=True)
+        for at in range(0, len(waiting), SIDE_BY_SIDE):
+            yield waiting[at : at + SIDE_BY_SIDE]
+
+    waiting: list[np.ndarray] = []
+    tokens = 0
+    for chain in chains:
+        waiting.append(chain)
+        tokens += len(chain) + 128
+        if tokens >= POOL:
+            yield from dealt()
+            waiting, tokens = [], 0
+    yield from dealt()
+
+
 def expected_counts(encoded: DataFrame, model: Model) -> DataFrame:
     """Summed over all partitions: a row per class; then rows for moves, start and likelihood."""
     states = len(model.start)
@@ -363,23 +386,8 @@ def expected_counts(encoded: DataFrame, model: Model) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Expectations(shared.value)
-        waiting: list[np.ndarray] = []
-        tokens = 0
-
-        def run(chains):
-            chains.sort(key=len, reverse=True)
-            for at in range(0, len(chains), SIDE_BY_SIDE):
-                sums.add(chains[at : at + SIDE_BY_SIDE])
-
-        for batch in batches:
-            for data in batch.column("classes").to_pylist():
-                chain = np.frombuffer(data, "<u2")
-                waiting.append(chain)
-                tokens += len(chain)
-                if len(waiting) >= 8 * SIDE_BY_SIDE or tokens >= 8 * SIDE_BY_SIDE * SEGMENT:
-                    run(waiting)
-                    waiting, tokens = [], 0
-        run(waiting)
+        for chains in groups_of_like_length(np.frombuffer(d, "<u2") for b in batches for d in b.column("classes").to_pylist()):
+            sums.add(chains)
         used = np.flatnonzero(sums.emit.any(axis=1))
         rest = np.vstack([sums.move, sums.start, np.full(states, sums.likelihood)])
         keys = np.concatenate([used, -1 - np.arange(len(rest))])
@@ -454,8 +462,11 @@ def score(encoded: DataFrame, totals: DataFrame, vocabulary: Vocabulary, model:
         for batch in batches:
             chains = [np.frombuffer(c, "<u2") for c in batch.column("classes").to_pylist()]
             found = np.empty(len(chains))
+            # Chains of like length together.
+            order = np.argsort([-len(c) for c in chains], kind="stable")
             for at in range(0, len(chains), 4 * SIDE_BY_SIDE):
-                found[at : at + 4 * SIDE_BY_SIDE] = forward(shared.value, chains[at : at + 4 * SIDE_BY_SIDE])
+                part = order[at : at + 4 * SIDE_BY_SIDE]
+                found[part] = forward(shared.value, [chains[i] for i in part])
             names = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "share"]
             yield pa.record_batch([*map(batch.column, names), pa.array(found, pa.float64())], names=[*names, "chain"])
 

@@ -24,3 +24,16 @@ def test_expected_counts_do_not_depend_on_segments(spark, monkeypatch):
     assert np.isclose(sum(got[-4][f"s{s}"] for s in range(3)), len(long))
     moves = sum(got[-1 - i][f"s{s}"] for i in range(3) for s in range(3))
     assert np.isclose(moves, sum(len(c) - 1 for c in long))
+
+
+def test_few_steps_for_chains_of_many_lengths():
+    # One chain in fifty is long; they come in any order.
+    rng = np.random.default_rng(2)
+    lengths = np.where(rng.random(8000) < 0.02, rng.integers(2000, 20_001, 8000), rng.integers(1, 600, 8000))
+    groups = list(hmm.groups_of_like_length(np.full(n, i % 7, "<u2") for i, n in enumerate(lengths.tolist())))
+    assert sorted(len(c) for g in groups for c in g) == sorted(lengths.tolist())
+    assert max(map(len, groups)) <= hmm.SIDE_BY_SIDE
+    assert all(len(a) >= len(b) for g in groups for a, b in zip(g, g[1:]))
+    steps = sum(len(g[0]) for g in groups)
+    ordered = np.sort(lengths)[::-1]
+    assert steps <= 1.1 * ordered[:: hmm.SIDE_BY_SIDE].sum()
