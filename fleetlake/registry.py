@@ -29,7 +29,7 @@ from fleetlake.plans.silver import run_silver
 from fleetlake.schemas import BRONZE_FIELDS
 from fleetlake.session import configure
 from fleetlake.sinks import partition_text, with_date_hour, write_parquet, write_table, write_unpartitioned
-from fleetlake.sources.events import raw_messages, read_events, vehicle_messages
+from fleetlake.sources.events import raw_messages, read_events, spread, vehicle_messages
 from fleetlake.sources.messages import read_messages
 from fleetlake.sources.scratch import scratch_path
 from fleetlake.sources.tables import read_silver
@@ -58,7 +58,7 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_messages(_raw(spark, sf_dir), keep=["event_id"])
+    return validate_messages(raw_messages(spread(read_events(spark, sf_dir))), keep=["event_id"])
 
 
 def message_source(spark: SparkSession, sf_dir: str) -> DataFrame:

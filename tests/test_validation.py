@@ -128,3 +128,14 @@ def test_text_after_a_list_fails_the_read(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"a":1}][{"b":2}]')
     with pytest.raises(Exception, match="Expected a list"):
         read_messages(spark, str(tmp_path), "array").collect()
+
+
+def test_validation_does_not_wait_for_one_row_group(spark):
+    from fleetlake import registry
+
+    # All events are one row group of one file, which one task reads.
+    for query in (registry.bronze_validation, registry.bronze_messages):
+        rows = query(spark, "/root/testdata/sf0.001").withColumn("task", F.spark_partition_id()).groupBy("task").count()
+        sizes = [r["count"] for r in rows.collect()]
+        assert len(sizes) >= 2 * spark.sparkContext.defaultParallelism
+        assert max(sizes) < sum(sizes) / 4
