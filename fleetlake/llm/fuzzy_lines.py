@@ -14,12 +14,15 @@ first run in that order which two near lines share is then among the keys of bot
 it are all broken, and ``e`` edits cannot break ``e + 1`` runs that lie apart. Near lines do share
 one (``run_length``). Runs that are frequent in a sample come last in that order, which keeps
 buckets small; the sample changes no result. Lines too short for an edit have no near line. Whether
-lines that met are near is first asked of 64 bits, each the parity of the words that fall on it: an edit
+lines that met are near is first asked of 128 bits, each the parity of the words that fall on it: an edit
 changes at most two of them.
 
 Of every connected group one occurrence stays: the first by doc_id and place. Lines without a
 word always stay.
 
+One pass over the documents gives a row a line with all that later steps need: place, key, numbers, runs
+and, where a block of documents has the line first, its text. A text is moved only to be compared.
+
 Results: null and empty texts have no lines to remove. A null ``doc_id`` comes first. Rows with
 the same ``doc_id`` and text are one document and keep the same lines. Extra columns do not
 matter. A line that stands in a third of all documents is summed in every task first; near lines
@@ -31,7 +34,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import string
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,18 +45,23 @@ from pyspark.sql import types as T
 from fleetlake.llm import membership
 from fleetlake.llm.common import blocks as text_blocks
 from fleetlake.llm.common import release, stored
-from fleetlake.llm.linking import Traits, link, shared_buckets
+from fleetlake.llm.linking import Near, Traits, link_near, only, shared_buckets
 from fleetlake.llm.text import Words, mix
 
 SIMILARITY = 0.9
 RUN = 4  # words
-# Items looked at for frequent runs, and how many of those every task knows.
-SAMPLE, FREQUENT = 200_000, 200_000
+# Documents looked at for frequent runs, and how many of those every task knows.
+SAMPLE, FREQUENT = 25_000, 200_000
+# Lines whose keys are chosen one by one, as too few are left to choose side by side.
+_FEW = 24
+TRAITS = ["n", "odd", "odd2"]
+# Bins on which the words of two lines are counted, the largest count, and pairs compared at a time.
+BINS, _MOST_COUNTED, _PAIRS = 256, 16_000, 2_048
 _NULL_ID = -(1 << 63)
-_PUNCTUATION = string.punctuation.encode()
+_BLANK = string.punctuation.encode() + b"\t\x0b\x0c\r"
 _NORMAL = bytes.maketrans(
-    b"0123456789" + _PUNCTUATION + string.ascii_uppercase.encode(),
-    b"0" * 10 + b" " * len(_PUNCTUATION) + string.ascii_lowercase.encode(),
+    b"0123456789" + _BLANK + string.ascii_uppercase.encode(),
+    b"0" * 10 + b" " * len(_BLANK) + string.ascii_lowercase.encode(),
 )
 
 
@@ -62,8 +69,16 @@ def normal_words(line: bytes) -> list[bytes]:
     return line.translate(_NORMAL).split()
 
 
-def _key(words: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+def normal_lines(text: bytes) -> list[bytes]:
+    """Every line of a text, normalised; empty where it has no word."""
+    text = text.translate(_NORMAL)
+    while b"  " in text:
+        text = text.replace(b"  ", b" ")
+    return [line.strip(b" ") for line in text.split(b"\n")]
+
+
+def _key(line: bytes) -> bytes:
+    return hashlib.blake2b(line, digest_size=16).digest()
 
 
 def edit_distance(a: list, b: list, most: int) -> int:
@@ -103,9 +118,18 @@ def edit_distance(a: list, b: list, most: int) -> int:
 
 
 def similar(a: list, b: list, similarity: float) -> bool:
-    longest = max(len(a), len(b))
+    longest, shortest = max(len(a), len(b)), min(len(a), len(b))
     most = int(longest * (1 - similarity) + 1e-9)
-    return edit_distance(a, b, most) <= most
+    # What two lines begin or end with costs no edit.
+    first = 0
+    while first < shortest and a[first] == b[first]:
+        first += 1
+    last = 0
+    while last < shortest - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    if longest - first - last <= most:
+        return True
+    return edit_distance(a[first : len(a) - last], b[first : len(b) - last], most) <= most
 
 
 def most_edits(n_words: int, similarity: float) -> int:
@@ -124,13 +148,14 @@ def run_length(similarity: float) -> int:
     return min(RUN, int(0.5 / (1 - similarity) + 1e-9))
 
 
-def parities(words: Words) -> np.ndarray:
-    """64 bits of each text: whether an odd number of its words fall on the bit.
+def parities(words: Words) -> list[np.ndarray]:
+    """128 bits of each text, 64 a number: whether an odd number of its words fall on the bit.
 
     An edit changes at most two of them.
     """
-    bits = np.uint64(1) << (mix(words.hashes) & np.uint64(63))
-    return np.bitwise_xor.reduceat(bits, words.bounds[:-1])
+    mixed = mix(words.hashes)
+    bits, half = np.uint64(1) << (mixed & np.uint64(63)), (mixed >> np.uint64(6)) & np.uint64(1)
+    return [np.bitwise_xor.reduceat(np.where(half == h, bits, np.uint64(0)), words.bounds[:-1]) for h in (0, 1)]
 
 
 def first_runs(texts: list[bytes], similarity: float, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,35 +163,90 @@ def first_runs(texts: list[bytes], similarity: float, frequent: np.ndarray) -> t
 
     ``frequent``: hashes of runs, the most frequent one last.
     """
+    return _first_runs(Words(texts), similarity, _Ranks(frequent))
+
+
+class _Ranks:
+    """Places of hashes in a list, counted from 1; 0: not in it."""
+
+    def __init__(self, listed: np.ndarray):
+        self.order = np.argsort(listed)
+        self.listed = listed[self.order]
+        # Most hashes are not in the list: a table by some of their bits tells that of most of these.
+        self.may_be = np.zeros(1 << 22, bool)
+        self.may_be[self._slot(listed)] = True
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64((1 << 22) - 1)).astype(np.int64)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        ranks = np.zeros(len(hashes), np.int64)
+        some = np.flatnonzero(self.may_be[self._slot(hashes)])
+        if len(some):
+            at = np.searchsorted(self.listed, hashes[some]).clip(max=len(self.listed) - 1)
+            ranks[some] = np.where(self.listed[at] == hashes[some], self.order[at] + 1, 0)
+        return ranks
+
+
+def _in_order(owner: np.ndarray, rank: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by text, rank and hash, and whether a row is the first of its text and hash there."""
+    if not len(runs) or owner[-1] >> 19:
+        order = np.lexsort((runs, rank, owner))
+    else:
+        # One number tells texts, ranks and most hashes apart.
+        brief = np.where(rank > 0, (1 << 43) + rank, (runs >> np.uint64(21)).astype(np.int64)) + (owner.astype(np.int64) << 44)
+        order = np.argsort(brief)
+        same = np.flatnonzero(np.diff(brief[order]) == 0)
+        if (runs[order[same]] != runs[order[same + 1]]).any():
+            order = np.lexsort((runs, rank, owner))
+    new = np.ones(len(runs), bool)
+    new[1:] = (np.diff(owner[order]) != 0) | (np.diff(runs[order]) != 0)
+    return order, new
+
+
+def _first_runs(words: Words, similarity: float, ranks: _Ranks) -> tuple[np.ndarray, np.ndarray]:
     k = run_length(similarity)
-    words = Words(texts)
     starts, runs = words.windows(k)
     owner = words.text[starts]
-    rank = np.zeros(len(runs), np.int64)
-    if len(frequent):
-        order = np.argsort(frequent)
-        at = order[np.searchsorted(frequent, runs, sorter=order).clip(max=len(frequent) - 1)]
-        rank = np.where(frequent[at] == runs, at + 1, 0)
-    order = np.lexsort((starts, runs, rank, owner))
-    owner, runs, starts = owner[order], runs[order], starts[order]
-    new = np.ones(len(runs), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (runs[1:] != runs[:-1])
-    owner, runs, starts = owner[new], runs[new], (starts[new] - words.bounds[owner[new]]).tolist()
-    taken = np.zeros(len(owner), bool)
-    bounds = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
-    for i, n in enumerate(np.diff(words.bounds).tolist()):
-        edits = most_edits(n, similarity)
-        if not edits:
-            continue
-        covered, apart, at = bytearray(n + k), 0, bounds[i]
-        while at < bounds[i + 1] and apart <= edits:
-            start = starts[at]
-            # A run's ends tell whether it overlaps another of the same length.
-            if not covered[start] and not covered[start + k - 1]:
-                covered[start : start + k] = b"\1" * k
-                apart += 1
-            at += 1
-        taken[bounds[i] : at] = True
+    lengths = np.diff(words.bounds)
+    of_length, at = np.unique(lengths, return_inverse=True)
+    edits = np.array([most_edits(int(n), similarity) for n in of_length], np.int64)[at]
+    some = edits[owner] > 0
+    starts, runs, owner = starts[some], runs[some], owner[some]
+    if not len(runs):
+        return owner, runs
+    order, new = _in_order(owner, ranks.of(runs), runs)
+    # Of equal runs of a text the one that comes first in it.
+    starts = np.minimum.reduceat(starts[order], np.flatnonzero(new))
+    owner, runs = owner[order[new]], runs[order[new]]
+
+    # All texts choose side by side, a run of each at a time, until it has enough that lie apart.
+    covered = np.zeros(len(words.text), bool)
+    bounds = np.searchsorted(owner, np.arange(len(edits) + 1))
+    at, ends, apart = bounds[:-1].copy(), bounds[1:], np.zeros(len(edits), np.int64)
+    left = np.flatnonzero(at < ends)
+    while len(left) > _FEW:
+        start = starts[at[left]]
+        # A run's ends tell whether it overlaps another of the same length.
+        free = ~covered[start] & ~covered[start + (k - 1)]
+        for i in range(k):
+            covered[start[free] + i] = True
+        apart[left] += free
+        at[left] += 1
+        left = left[(apart[left] <= edits[left]) & (at[left] < ends[left])]
+    for text in left.tolist():
+        here, end, n, most = int(at[text]), int(ends[text]), int(apart[text]), int(edits[text])
+        low, high = int(words.bounds[text]), int(words.bounds[text + 1])
+        own, places = bytearray(covered[low:high].tobytes()), (starts[here:end] - low).tolist()
+        for start in places:
+            if n > most:
+                break
+            if not own[start] and not own[start + k - 1]:
+                own[start : start + k] = b"\1" * k
+                n += 1
+            here += 1
+        at[text] = here
+    taken = np.arange(len(owner)) < at[owner]
     return owner[taken], runs[taken]
 
 
@@ -178,152 +258,136 @@ def _text_keys(texts: list[bytes]) -> np.ndarray:
     return membership.keys_of([hashlib.blake2b(t, digest_size=8).digest() for t in texts])
 
 
-def signed_lines(docs: DataFrame) -> DataFrame:
+def signed_lines(docs: DataFrame, similarity: float, frequent: np.ndarray) -> DataFrame:
     """A row for every line with a word: its document (``doc``, ``tkey``), place, key, number of
-    words and parities."""
+    words and parities. Where the line may have a near one and is the first of its key in a block of
+    documents: also its normalised ``text`` and ``runs``, by which it meets its near lines."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    shortest = next(n for n in itertools.count(1) if most_edits(n, similarity))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = _Ranks(shared.value)
         for batch, texts in text_blocks(batches):
-            owner, place, keys, seen = [], [], [], {}
+            owner, place, of_line = [], [], []
+            number: dict[bytes, int] = {}
             for i, text in enumerate(texts):
-                for j, line in enumerate(text.split(b"\n")):
-                    if words := normal_words(line):
-                        key = _key(words)
-                        seen.setdefault(key, words)
+                for j, line in enumerate(normal_lines(text)):
+                    if line:
                         owner.append(i)
                         place.append(j)
-                        keys.append(key)
-            if not keys:
+                        of_line.append(number.setdefault(line, len(number)))
+            if not number:
                 continue
-            odd = dict(zip(seen, parities(Words([b" ".join(w) for w in seen.values()])).view(np.int64).tolist()))
+            distinct, at = list(number), np.array(of_line, np.int64)
+            words = Words(distinct)
+            lengths = np.diff(words.bounds)
+            text_of, runs = _first_runs(words, similarity, ranks)
+            first = np.zeros(len(at), bool)
+            first[np.unique(at, return_index=True)[1]] = True
+            first &= lengths[at] >= shortest
+            counts = np.where(first, np.bincount(text_of, minlength=len(distinct))[at], 0)
+            # The runs of first lines follow one another as the lines do, as both are numbered in order.
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(runs.view(np.int64)))
             yield pa.record_batch(
                 [
                     pa.array(_doc(batch)[owner]),
                     pa.array(_text_keys(texts).view(np.int64)[owner]),
                     pa.array(place, pa.int32()),
-                    pa.array(keys, pa.binary()),
-                    pa.array([len(seen[k]) for k in keys], pa.int64()),
-                    pa.array([odd[k] for k in keys], pa.int64()),
+                    pa.array([_key(line) for line in distinct], pa.binary()).take(pa.array(at)),
+                    pa.array(lengths[at]),
+                    *[pa.array(odd.view(np.int64)[at]) for odd in parities(words)],
+                    pa.array([distinct[i] if f else None for i, f in zip(of_line, first.tolist())], pa.binary()),
+                    listed,
                 ],
-                names=["doc", "tkey", "line", "key", "n", "odd"],
+                names=["doc", "tkey", "line", "key", *TRAITS, "text", "runs"],
             )
 
-    schema = "doc bigint, tkey bigint, line int, key binary, n bigint, odd bigint"
+    schema = "doc bigint, tkey bigint, line int, key binary, n bigint, odd bigint, odd2 bigint, text binary, runs array<bigint>"
     return docs.mapInArrow(work, schema)
 
 
-def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id`` and normalised ``text`` of the items in ``wanted`` (``id``, ``key``)."""
-    filter_ = membership.build(wanted, "key")
+def frequent_runs(docs: DataFrame, similarity: float) -> np.ndarray:
+    """Hashes of the most frequent runs of the lines of some documents, the most frequent one last."""
+    part = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, SAMPLE / max(1, docs.count()))))
+    k = run_length(similarity)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_blocks(batches):
-            found: dict[bytes, bytes] = {}
-            lines = [w for text in texts for line in text.split(b"\n") if (w := normal_words(line))]
-            keys = [_key(w) for w in lines]
-            for i in np.flatnonzero(filter_(membership.keys_of(keys))):
-                found[keys[i]] = b" ".join(lines[i])
-            yield pa.record_batch(
-                [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.binary())], names=["key", "text"]
-            )
-
-    # Equal lines are one row per task before they meet; by key alone, so the join moves no text again.
-    rows = docs.mapInArrow(work, "key binary, text binary").groupBy("key").agg(F.any_value("text").alias("text"))
-    return rows.join(wanted, "key").select("id", "text")
-
-
-def frequent_runs(texts: DataFrame, n_items: int, similarity: float) -> np.ndarray:
-    """Hashes of the most frequent runs of a sample of the lines, the most frequent one last."""
-    part = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, SAMPLE / max(1, n_items))))
-    k = run_length(similarity)
+            yield pa.record_batch([pa.array({x for text in texts for x in normal_lines(text)}, pa.binary())], names=["text"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, lines in text_blocks(batches):
-            yield pa.record_batch([pa.array(Words(lines).windows(k)[1].view(np.int64))], names=["run"])
+        for batch in batches:
+            yield pa.record_batch([pa.array(Words(batch.column("text").to_pylist()).windows(k)[1].view(np.int64))], names=["run"])
 
-    counts = texts.where(part).select(F.col("text").cast("string")).mapInArrow(work, "run bigint").groupBy("run").count().where("count > 3")
+    distinct = docs.where(part).select("text").mapInArrow(lines, "text binary").distinct()
+    counts = distinct.mapInArrow(work, "run bigint").groupBy("run").count().where("count > 3")
     found = counts.orderBy(F.desc("count"), "run").limit(FREQUENT).toArrow()
     return found.column("run").to_numpy().view(np.uint64)[::-1].copy()
 
 
-def run_buckets(texts: DataFrame, frequent: np.ndarray, similarity: float) -> DataFrame:
-    """``id`` and ``bucket`` of every run by which a line meets its near lines."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, lines in text_blocks(batches):
-            owner, runs = first_runs(lines, similarity, shared.value)
-            ids = batch.column("id").to_numpy()[owner]
-            yield pa.record_batch([pa.array(ids), pa.array(runs.view(np.int64))], names=["id", "bucket"])
-
-    return texts.select("id", F.col("text").cast("string")).mapInArrow(work, "id bigint, bucket bigint")
-
-
 def may_be_near(similarity: float):
     """For linking.py: which lines may be near, by their numbers of words and their parities."""
 
     def may_link(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
-        (m, a), (n, b) = one, other
+        (m, *ours), (n, *theirs) = one, other
         most = (np.maximum(m[:, None], n[None, :]) * (1 - similarity) + 1e-9).astype(np.int64)
         found = abs(m[:, None] - n[None, :]) <= most
-        found &= np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) <= 2 * most
+        odd = (np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) for a, b in zip(ours, theirs))
+        found &= sum(odd) <= 2 * most
         return found
 
     return may_link
 
 
-def alike(similarity: float):
-    """Test for linking.py: which pairs of normalised lines are near."""
-    may_link = may_be_near(similarity)
+def alike(similarity: float) -> Near:
+    """Test for linking.py: whether two normalised lines are near."""
+
+    def linked(one: bytes, other: bytes) -> bool:
+        return similar(one.split(), other.split(), similarity)
 
-    def numbers(lines: list[bytes]) -> list[np.ndarray]:
+    def may_link(lines: list[bytes], one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """By how many words of either line fall on each bin: an edit adds one word and takes one at most."""
         words = Words(lines)
-        return [np.diff(words.bounds), parities(words)]
-
-    def test(one: list[bytes], other: list[bytes]) -> np.ndarray:
-        found = may_link(numbers(one), numbers(other))
-        # Only lines that may have a near one are split.
-        words, bags = ({}, {}), ({}, {})
-        for i, j in np.argwhere(found).tolist():
-            for side, at, lines in ((0, i, one), (1, j, other)):
-                if at not in words[side]:
-                    words[side][at] = split = lines[at].split()
-                    bags[side][at] = Counter(split)
-            a, b = words[0][i], words[1][j]
-            longest = max(len(a), len(b))
-            common = sum((bags[0][i] & bags[1][j]).values())
-            found[i, j] = common >= longest - int(longest * (1 - similarity) + 1e-9) and similar(a, b, similarity)
+        lengths = np.diff(words.bounds)
+        at = words.text * BINS + (mix(words.hashes) >> np.uint64(32)).astype(np.int64) % BINS
+        counts = np.bincount(at, minlength=len(lines) * BINS).clip(max=_MOST_COUNTED).astype(np.int16).reshape(-1, BINS)
+        found = np.zeros(len(one), bool)
+        for first in range(0, len(one), _PAIRS):
+            a, b = one[first : first + _PAIRS], other[first : first + _PAIRS]
+            difference = counts[a] - counts[b]
+            most = (np.maximum(lengths[a], lengths[b]) * (1 - similarity) + 1e-9).astype(np.int64)
+            added, taken = (np.maximum(d, 0).sum(axis=1, dtype=np.int64) for d in (difference, -difference))
+            found[first : first + _PAIRS] = np.maximum(added, taken) <= most
         return found
 
-    return test
+    return Near(linked, may_link)
 
 
 def repeated_lines(docs: DataFrame, similarity: float) -> DataFrame:
     """Stored rows: the places of the lines to remove, per document (``doc``, ``tkey``, ``lines``)."""
-    lines = stored(signed_lines(docs), "lines")
+    signed = signed_lines(docs, similarity, frequent_runs(docs, similarity))
+    lines = stored(signed.withColumn("id", F.monotonically_increasing_id()), "lines")
     at = F.struct("doc", "tkey", "line")
+    # An item's id is that of one of its rows with a text; a line too short for a near one has none.
+    with_text = lines.where("text is not null")
     items = stored(
-        lines.groupBy("key")
-        .agg(
-            F.min(at).alias("first"), F.max(at).alias("last"),
-            *[F.min(c).alias(c) for c in ("n", "odd")],
-        )
-        .withColumn("id", F.monotonically_increasing_id()),
+        lines.groupBy("key").agg(
+            F.min(at).alias("first"), F.count(F.lit(1)).alias("times"), F.min(F.when(F.col("text").isNotNull(), F.col("id"))).alias("id")
+        ),
         "line-items",
-    )
-    release(docs.sparkSession)
-    shortest = next(n for n in itertools.count(1) if most_edits(n, similarity))
-    wanted = stored(items.where(F.col("n") >= shortest).select("id", "key"), "line-candidates")
-    texts = stored(_lines_of(docs, wanted), "line-texts")
+    )
     release(docs.sparkSession)
-    by_run = run_buckets(texts, frequent_runs(texts, wanted.count(), similarity), similarity)
+    # The filter may let a second row of a line through: a copy, which is linked with the item and counts as none.
+    by_run = only(with_text, items).select("id", F.explode("runs").alias("bucket"))
     members = shared_buckets(by_run, at_once=True)
-    labels = link(members, texts, alike(similarity), Traits(items, ["n", "odd"], may_be_near(similarity)))
+    traits = Traits(with_text.select("id", *TRAITS), TRAITS, may_be_near(similarity))
+    labels = link_near(members, with_text.select("id", "text"), alike(similarity), traits)
 
     labelled = stored(items.join(labels, "id").select("key", "label", "first"), "labelled-lines")
     firsts = labelled.groupBy("label").agg(F.min("first").alias("stays"))
     grouped = labelled.join(firsts, "label").select("key", "stays")
-    alone = items.where("first < last").join(labels, "id", "left_anti").select("key", F.col("first").alias("stays"))
+    alone = items.where("times > 1").join(labels, "id", "left_anti").select("key", F.col("first").alias("stays"))
     stays = stored(grouped.unionByName(alone), "stays")
     gone = lines.select("doc", "tkey", "line", "key").join(stays, "key").where(at != F.col("stays"))
     out = stored(gone.groupBy("doc", "tkey").agg(F.collect_set("line").alias("lines")), "lines-to-remove")
@@ -344,14 +408,14 @@ def remove_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     def cut_block(batch: pa.RecordBatch, texts: list[bytes], listed: list) -> pa.RecordBatch:
         new, counts, removed = [], [], []
         for text, places in zip(texts, listed):
-            lines = text.split(b"\n")
-            counts.append(sum(1 for line in lines if normal_words(line)))
+            counts.append(len(list(filter(None, map(bytes.strip, text.translate(_NORMAL).split(b"\n"))))))
             removed.append(len(places or ()))
             drop = set(places or ())
-            new.append(b"\n".join(x for i, x in enumerate(lines) if i not in drop).decode() if drop else None)
+            new.append(b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in drop).decode() if drop else None)
         column = batch.column("text")
-        kept = [n if r else o for n, r, o in zip(new, removed, column.to_pylist())]
-        columns = [pa.array(kept, column.type) if n == "text" else batch.column(n) for n in names]
+        if any(removed):
+            column = pa.array([n if r else o for n, r, o in zip(new, removed, column.to_pylist())], column.type)
+        columns = [column if n == "text" else batch.column(n) for n in names]
         columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
         return pa.record_batch(columns, names=[*names, "__n_lines", "__n_removed"])
 

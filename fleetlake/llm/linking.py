@@ -10,11 +10,14 @@ what they connect. Then all pairs that could join two classes have been tested,
 exact for these buckets.
 
 Where numbers of an item (``traits``) can rule a link out, they are compared first, and texts are
-fetched only for items that have someone left to be tested with.
+fetched only for items that have someone left to be tested with. Pairs are then tested one by one, and
+in a block only those whose classes its links so far do not connect. Most hubs and blocks have few
+members, so many of them go through one call of Python.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,6 +39,15 @@ BLOCK = 128
 Test = Callable[[list[bytes], list[bytes]], np.ndarray]
 
 
+@dataclass(frozen=True)
+class Near:
+    """Tests of pairs. ``linked``: of two texts; ``may_link`` takes texts and the places of pairs among
+    them and gives an array, false only where ``linked`` would refuse."""
+
+    linked: Callable[[bytes, bytes], bool]
+    may_link: Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]
+
+
 @dataclass(frozen=True)
 class Traits:
     """Numbers of every item: ``table`` has ``id`` and ``columns``, all bigint. ``may_link`` takes the
@@ -68,7 +80,7 @@ def shared_buckets(buckets: DataFrame, at_once: bool = False) -> DataFrame:
     return members
 
 
-def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+def only(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The texts without most of those whose ``id`` is not in ``ids``; only numbers go to Python."""
     may_have = membership.build(ids, "id")
 
@@ -114,43 +126,139 @@ def _slices_by_bytes(texts: pa.ChunkedArray) -> Iterator[slice]:
         at = to
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Places of links (``a``, ``b``) that connect all that the links do, one fewer than what they connect."""
-    root: dict[int, int] = {}
+class _Classes:
+    """Classes of what has been joined so far."""
 
-    def find(x: int) -> int:
+    def __init__(self):
+        self.root: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        root = self.root
         while (y := root.setdefault(x, x)) != x:
             root[x] = x = root[y]
         return x
 
-    kept = []
-    for at, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = find(x), find(y)
-        if x != y:
-            root[x] = y
-            kept.append(at)
-    return np.array(kept, np.int64)
+    def join(self, x: int, y: int) -> bool:
+        """Whether ``x`` and ``y`` were in two classes until now."""
+        x, y = self.find(x), self.find(y)
+        self.root[x] = y
+        return x != y
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of links (``a``, ``b``) that connect all that the links do, one fewer than what they connect."""
+    classes = _Classes()
+    return np.array([at for at, (x, y) in enumerate(zip(a.tolist(), b.tolist())) if classes.join(x, y)], np.int64)
+
+
+def _tested_singly(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
+    """The linked ones of the pairs (``a``, ``b``)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            both = batch.column("a_text").to_pylist() + batch.column("b_text").to_pylist()
+            may_be = near.may_link(both, np.arange(n), np.arange(n, 2 * n)).tolist()
+            found = [may and near.linked(both[i], both[n + i]) for i, may in enumerate(may_be)]
+            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
+
+    return _with_texts(pairs, texts).mapInArrow(work, "a bigint, b bigint")
+
+
+def _runs_of(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of whole groups, with the bounds of the groups. Rows that agree in ``columns`` must
+    follow one another, as they do in a sorted task; groups are of bounded size."""
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        whole = batch
+        if rest is not None and rest.num_rows:
+            whole = rest if batch is None else pa.concat_batches([rest, batch])
+        if whole is None or not whole.num_rows:
+            continue
+        new = np.zeros(whole.num_rows, bool)
+        new[0] = True
+        for column in columns:
+            new[1:] |= np.diff(whole.column(column).to_numpy()) != 0
+        bounds = np.append(np.flatnonzero(new), whole.num_rows)
+        if batch is not None:
+            # The last group may go on.
+            rest, bounds = whole.slice(bounds[-2]), bounds[:-1]
+        if len(bounds) > 1:
+            yield whole.slice(0, bounds[-1]), bounds
+
+
+_BLOCK_OF = ["arena", "i", "j"]
+
+
+def _left(query: np.ndarray, label: np.ndarray, numbers: list[np.ndarray], traits: Traits) -> tuple[np.ndarray, ...]:
+    """Rows of a block's queries and answers, and which of them may be linked and are not of one class."""
+    one, other = np.flatnonzero(query), np.flatnonzero(~query)
+    left = label[one][:, None] != label[other][None, :]
+    if left.any():
+        left &= traits.may_link([c[one] for c in numbers], [c[other] for c in numbers])
+    return one, other, left
+
+
+def _columns_of(batch: pa.RecordBatch, traits: Traits) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    query = batch.column("query").to_numpy(zero_copy_only=False)
+    return query, batch.column("label").to_numpy(), [batch.column(c).to_numpy() for c in traits.columns]
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_BLOCK_OF).sortWithinPartitions(*_BLOCK_OF)
 
 
 def _with_partners(blocks: DataFrame, traits: Traits) -> DataFrame:
-    """The rows of blocks that have an item of another class left on the other side."""
-    wanted, columns, may_link = blocks.columns, traits.columns, traits.may_link
+    """The rows of blocks that have an item of another class left on the other side, with their traits."""
+    bare = Traits(None, traits.columns, traits.may_link)
 
-    def work(table: pa.Table) -> pa.Table:
-        query = table.column("query").to_numpy()
-        sides = [table.filter(pa.array(rows)) for rows in (query, ~query)]
-        one, other = ([side.column(c).to_numpy() for c in columns] for side in sides)
-        left = may_link(one, other)
-        left &= sides[0].column("label").to_numpy()[:, None] != sides[1].column("label").to_numpy()[None, :]
-        sides = [side.filter(pa.array(left.any(axis=axis))) for side, axis in zip(sides, (1, 0))]
-        return pa.concat_tables(sides).select(wanted)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, bounds in _runs_of(batches, _BLOCK_OF):
+            query, label, numbers = _columns_of(batch, bare)
+            kept = np.zeros(batch.num_rows, bool)
+            for at, to in itertools.pairwise(bounds.tolist()):
+                one, other, left = _left(query[at:to], label[at:to], [c[at:to] for c in numbers], bare)
+                kept[at + one] = left.any(axis=1)
+                kept[at + other] = left.any(axis=0)
+            yield batch.filter(pa.array(kept))
+
+    described = blocks.join(traits.table.select("id", *traits.columns), "id").select(*blocks.columns, *traits.columns)
+    return _in_blocks(described).mapInArrow(work, described.schema)
 
-    described = blocks.join(traits.table.select("id", *columns), "id").select(*wanted, *columns)
-    return described.groupBy("arena", "i", "j").applyInArrow(work, blocks.schema)
 
+def _links_of_blocks(blocks: DataFrame, texts: DataFrame, near: Near, traits: Traits) -> DataFrame:
+    """Links (``a``, ``b``) between the classes of a block's items, no more than connect them."""
+    bare = Traits(None, traits.columns, traits.may_link)
 
-def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test, traits: Traits | None) -> DataFrame:
-    """Links between members (``arena``, ``id``, ``label``) outside an arena's class and all of it."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, bounds in _runs_of(batches, _BLOCK_OF):
+            query, label, numbers = _columns_of(batch, bare)
+            ids, label_of = batch.column("id").to_numpy(), label.tolist()
+            texts = batch.column("text").to_pylist()
+            block, a, b = [], [], []
+            for at, to in itertools.pairwise(bounds.tolist()):
+                one, other, left = _left(query[at:to], label[at:to], [c[at:to] for c in numbers], bare)
+                i, j = np.nonzero(left)
+                block.append(np.full(len(i), at))
+                a.append(at + one[i])
+                b.append(at + other[j])
+            block, a, b = np.concatenate(block), np.concatenate(a), np.concatenate(b)
+            rows = np.flatnonzero(near.may_link(texts, a, b))
+            kept, of, classes = [], None, _Classes()
+            for row, here, x, y in zip(rows.tolist(), block[rows].tolist(), a[rows].tolist(), b[rows].tolist()):
+                if here != of:
+                    of, classes = here, _Classes()
+                if classes.find(label_of[x]) != classes.find(label_of[y]) and near.linked(texts[x], texts[y]):
+                    classes.join(label_of[x], label_of[y])
+                    kept.append(row)
+            yield pa.record_batch([pa.array(ids[side[np.array(kept, np.int64)]]) for side in (a, b)], names=["a", "b"])
+
+    return _in_blocks(blocks.join(texts, "id")).mapInArrow(work, "a bigint, b bigint")
+
+
+def _blocks(arenas: DataFrame) -> DataFrame:
+    """Blocks (``arena``, ``i``, ``j``) of members (``arena``, ``id``, ``label``): those outside an arena's class
+    (``query``) and all of them."""
     outside = F.col("label") != F.col("arena")
     sizes = arenas.groupBy("arena").agg(
         F.ceil(F.count_if(outside) / BLOCK).alias("rows"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("columns")
@@ -166,6 +274,12 @@ def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test, traits: T
     queries = sized.where(outside).select("arena", "id", "label", F.lit(True).alias("query"), place("rows").alias("i"), every("columns").alias("j"))
     answers = sized.select("arena", "id", "label", F.lit(False).alias("query"), place("columns").alias("j"), every("rows").alias("i"))
 
+    return queries.unionByName(answers)
+
+
+def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test) -> DataFrame:
+    """Links between members outside an arena's class and all of it."""
+
     def work(table: pa.Table) -> pa.Table:
         sides = [table.filter(pa.compute.equal(table.column("query"), value)) for value in (True, False)]
         a, b = (side.column("id").to_numpy() for side in sides)
@@ -181,11 +295,7 @@ def _tested_in_blocks(arenas: DataFrame, texts: DataFrame, test: Test, traits: T
         first = _forest(one[i], other[j])
         return pa.table({"a": a[i[first]], "b": b[j[first]]})
 
-    both = queries.unionByName(answers)
-    if traits is not None:
-        both = stored(_with_partners(both, traits), "arena-partners")
-        texts = _only(texts, both)
-    return both.join(texts, "id").groupBy("arena", "i", "j").applyInArrow(work, "a bigint, b bigint")
+    return _blocks(arenas).join(texts, "id").groupBy("arena", "i", "j").applyInArrow(work, "a bigint, b bigint")
 
 
 def _near_hubs(members: DataFrame, traits: Traits) -> DataFrame:
@@ -216,15 +326,29 @@ def _near_hubs(members: DataFrame, traits: Traits) -> DataFrame:
 def link(members: DataFrame, texts: DataFrame, test: Test, traits: Traits | None = None) -> DataFrame:
     """``id`` and ``label`` of every item that has a link. ``members``: see ``shared_buckets``;
     ``texts`` has ``id`` and ``text`` (binary) of them all."""
-    if traits is None:
-        pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-        links = stored(_tested(stored(pairs, "pairs"), texts, test), "links")
-    else:
-        pairs = stored(_near_hubs(members, traits), "pairs")
-        release(members.sparkSession)
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-        links = stored(_tested(pairs, _only(texts, ids), test), "links")
-    labels = components(links)
+    if traits is not None:
+        near = Near(lambda one, other: bool(test([one], [other])[0, 0]), lambda _, a, b: np.ones(len(a), bool))
+        return link_near(members, texts, near, traits)
+    pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    labels = components(stored(_tested(stored(pairs, "pairs"), texts, test), "links"))
+    return _with_more(labels, stored(_tested_in_blocks(_arenas(members, labels), texts, test), "links"))
+
+
+def link_near(members: DataFrame, texts: DataFrame, near: Near, traits: Traits) -> DataFrame:
+    """``link`` for items that traits describe: pairs are tested one by one."""
+    pairs = stored(_near_hubs(members, traits), "pairs")
+    release(members.sparkSession)
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+    # Fetched once, though every pair needs two.
+    few = stored(only(texts, ids), "pair-texts")
+    labels = components(stored(_tested_singly(pairs, few, near), "links"))
+    blocks = stored(_with_partners(_blocks(_arenas(members, labels)), traits), "arena-partners")
+    release(members.sparkSession)
+    return _with_more(labels, stored(_links_of_blocks(blocks, only(texts, blocks), near, traits), "links"))
+
+
+def _arenas(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored members (``arena``, ``id``, ``label``) of buckets that are not yet in one class."""
     named = labels.withColumnRenamed("id", "__id")
     at = members.join(named, F.col("id") == F.col("__id"), "left").select(
         "bucket", "id", "hub", F.coalesce("label", "id").alias("label")
@@ -235,7 +359,10 @@ def link(members: DataFrame, texts: DataFrame, test: Test, traits: Traits | None
     unlike = at.groupBy("bucket").agg(arena, *classes).where("l < m AND n > 2")
     arenas = stored(at.join(stored(unlike, "open"), "bucket").select("arena", "id", "label").distinct(), "arena-members")
     release(members.sparkSession)
-    more = stored(_tested_in_blocks(arenas, texts, test, traits), "links")
+    return arenas
+
+
+def _with_more(labels: DataFrame, more: DataFrame) -> DataFrame:
     if more.isEmpty():
         return labels
     chain = labels.select(F.col("label").alias("a"), F.col("id").alias("b"))

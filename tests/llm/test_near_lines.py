@@ -5,10 +5,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from helpers import table
 from test_near_duplicates import Classes, levenshtein
 
-from fleetlake.llm import fuzzy_lines, queries
+from fleetlake.llm import fuzzy_lines, linking, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,3 +107,44 @@ def test_near_lines_query(spark):
     for r in queries.op8_simhash_lines(spark, SF).collect():
         removed, text = expected[r["doc_id"]]
         assert (r["n_removed"], r["kept_sha256"]) == (removed, hashlib.sha256(text).hexdigest())
+
+
+def test_one_pass_gives_the_runs_of_first_lines(spark):
+    # Lines with and without runs, repeated within a document and across documents of a block.
+    texts = near_texts()
+    docs = ["\n".join([*texts[i : i + 4], "too short", texts[0]]) for i in range(0, len(texts), 4)] + [None, "", " ,. \n"]
+    rows = fuzzy_lines.signed_lines(table(spark, docs).coalesce(1), 0.9, np.empty(0, np.uint64)).collect()
+    assert len(rows) == sum(1 for d in docs for line in (d or "").split("\n") if fuzzy_lines.normal_words(line.encode()))
+    with_text = [r for r in rows if r["text"] is not None]
+    assert len({r["key"] for r in with_text}) == len(with_text)
+    assert {r["key"] for r in rows if r["n"] >= 9} == {r["key"] for r in with_text}
+    lines = [bytes(r["text"]) for r in with_text]
+    owner, runs = fuzzy_lines.first_runs(lines, 0.9, np.empty(0, np.uint64))
+    assert [r["runs"] for r in with_text] == [runs[owner == i].view(np.int64).tolist() for i in range(len(lines))]
+    assert all(not r["runs"] for r in rows if r["text"] is None)
+
+
+def test_counts_rule_out_lines_that_share_a_passage():
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(90)]
+    lines = [" ".join([f"w{rng.randrange(5000)}" for _ in range(30)] + passage).encode() for _ in range(40)]
+    lines += [" ".join(edited(lines[0].decode().split(), n, rng)).encode() for n in (1, 6, 12, 12)]
+    near = fuzzy_lines.alike(0.9)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(lines)), np.arange(len(lines))))
+    may = near.may_link(lines, a, b)
+    linked = np.array([near.linked(lines[x], lines[y]) for x, y in zip(a, b)])
+    assert (linked <= may).all() and linked.sum() > len(lines)
+    assert (may & ~linked).sum() < 0.02 * len(may)
+
+
+def test_groups_are_whole_over_batches():
+    rng = random.Random(4)
+    arena = sorted(rng.randrange(20) for _ in range(200))
+    batch = pa.record_batch([pa.array(arena), pa.array(range(200))], names=["arena", "id"])
+    cut = [batch.slice(at, 7) for at in range(0, 200, 7)]
+    got = []
+    for part, bounds in linking._runs_of(iter(cut), ["arena"]):
+        for at, to in zip(bounds, bounds[1:]):
+            got.append((set(part["arena"][at:to].to_pylist()), part["id"][at:to].to_pylist()))
+    assert [x for _, ids in got for x in ids] == list(range(200))
+    assert [of for of, _ in got] == [{x} for x in sorted(set(arena))]
