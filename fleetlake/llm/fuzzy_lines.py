@@ -12,8 +12,8 @@ moves some 9 of 64 bits, so SimHashes of near lines share no block that is long
 the first ones are keys, until ``e + 1`` of them lie apart, if the line may have ``e`` edits. The
 first run in that order which two near lines share is then among the keys of both: the runs before
 it are all broken, and ``e`` edits cannot break ``e + 1`` runs that lie apart. Near lines do share
-one (``run_length``). Runs that are frequent in a sample come last in that order, which keeps
-buckets small; the sample changes no result. Lines too short for an edit have no near line. Whether
+one (``run_length``). Runs that are frequent in all documents come last in that order, which keeps
+buckets small; the order changes no result. Lines too short for an edit have no near line. Whether
 lines that met are near is first asked of 128 bits, each the parity of the words that fall on it: an edit
 changes at most two of them.
 
@@ -35,6 +35,7 @@ import hashlib
 import itertools
 import string
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +51,10 @@ from fleetlake.llm.text import Words, mix
 
 SIMILARITY = 0.9
 RUN = 4  # words
-# Documents looked at for frequent runs, and how many of those every task knows.
-SAMPLE, FREQUENT = 25_000, 200_000
+# Slots on which all runs are counted, how many of them go in one row, and runs counted at a time.
+SLOTS, _SLOTS_A_ROW, _RUNS = 1 << 22, 1 << 10, 1 << 20
+# Steps in which a count may double.
+_STEPS = 6
 # Lines whose keys are chosen one by one, as too few are left to choose side by side.
 _FEW = 24
 TRAITS = ["n", "odd", "odd2"]
@@ -137,6 +140,11 @@ def most_edits(n_words: int, similarity: float) -> int:
     return int(int(n_words / similarity + 1e-9) * (1 - similarity) + 1e-9)
 
 
+def shortest_line(similarity: float) -> int:
+    """Words of the shortest line that may be near another."""
+    return next(n for n in itertools.count(1) if most_edits(n, similarity))
+
+
 def run_length(similarity: float) -> int:
     """Words of a run, at most ``RUN``, such that any two near lines that differ share one.
 
@@ -161,9 +169,23 @@ def parities(words: Words) -> list[np.ndarray]:
 def first_runs(texts: list[bytes], similarity: float, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the text and hash of the runs by which it meets its near lines.
 
-    ``frequent``: hashes of runs, the most frequent one last.
+    ``frequent``: hashes of runs, the most frequent one last, or what ``frequent_runs`` gives.
     """
-    return _first_runs(Words(texts), similarity, _Ranks(frequent))
+    return _first_runs(Words(texts), similarity, _ranks(frequent))
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Frequencies:
+    """How frequent runs are: a level of each slot, higher where the runs that fall on it are more."""
+
+    levels: np.ndarray
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return self.levels[_slot(hashes)].astype(np.int64)
 
 
 class _Ranks:
@@ -173,28 +195,30 @@ class _Ranks:
         self.order = np.argsort(listed)
         self.listed = listed[self.order]
         # Most hashes are not in the list: a table by some of their bits tells that of most of these.
-        self.may_be = np.zeros(1 << 22, bool)
-        self.may_be[self._slot(listed)] = True
-
-    def _slot(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes & np.uint64((1 << 22) - 1)).astype(np.int64)
+        self.may_be = np.zeros(SLOTS, bool)
+        self.may_be[_slot(listed)] = True
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         ranks = np.zeros(len(hashes), np.int64)
-        some = np.flatnonzero(self.may_be[self._slot(hashes)])
+        some = np.flatnonzero(self.may_be[_slot(hashes)])
         if len(some):
             at = np.searchsorted(self.listed, hashes[some]).clip(max=len(self.listed) - 1)
             ranks[some] = np.where(self.listed[at] == hashes[some], self.order[at] + 1, 0)
         return ranks
 
 
+def _ranks(frequent: np.ndarray | Frequencies) -> _Ranks | Frequencies:
+    return frequent if isinstance(frequent, Frequencies) else _Ranks(frequent)
+
+
 def _in_order(owner: np.ndarray, rank: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by text, rank and hash, and whether a row is the first of its text and hash there."""
     if not len(runs) or owner[-1] >> 19:
         order = np.lexsort((runs, rank, owner))
     else:
         # One number tells texts, ranks and most hashes apart.
-        brief = np.where(rank > 0, (1 << 43) + rank, (runs >> np.uint64(21)).astype(np.int64)) + (owner.astype(np.int64) << 44)
+        bits = int(rank.max()).bit_length()
+        brief = (owner.astype(np.int64) << 44) + (rank << (44 - bits)) + (runs >> np.uint64(20 + bits)).astype(np.int64)
         order = np.argsort(brief)
         same = np.flatnonzero(np.diff(brief[order]) == 0)
         if (runs[order[same]] != runs[order[same + 1]]).any():
@@ -204,7 +228,7 @@ def _in_order(owner: np.ndarray, rank: np.ndarray, runs: np.ndarray) -> tuple[np
     return order, new
 
 
-def _first_runs(words: Words, similarity: float, ranks: _Ranks) -> tuple[np.ndarray, np.ndarray]:
+def _first_runs(words: Words, similarity: float, ranks: _Ranks | Frequencies) -> tuple[np.ndarray, np.ndarray]:
     k = run_length(similarity)
     starts, runs = words.windows(k)
     owner = words.text[starts]
@@ -258,15 +282,15 @@ def _text_keys(texts: list[bytes]) -> np.ndarray:
     return membership.keys_of([hashlib.blake2b(t, digest_size=8).digest() for t in texts])
 
 
-def signed_lines(docs: DataFrame, similarity: float, frequent: np.ndarray) -> DataFrame:
+def signed_lines(docs: DataFrame, similarity: float, frequent: np.ndarray | Frequencies) -> DataFrame:
     """A row for every line with a word: its document (``doc``, ``tkey``), place, key, number of
     words and parities. Where the line may have a near one and is the first of its key in a block of
     documents: also its normalised ``text`` and ``runs``, by which it meets its near lines."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    shortest = next(n for n in itertools.count(1) if most_edits(n, similarity))
+    shortest = shortest_line(similarity)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _Ranks(shared.value)
+        ranks = _ranks(shared.value)
         for batch, texts in text_blocks(batches):
             owner, place, of_line = [], [], []
             number: dict[bytes, int] = {}
@@ -307,23 +331,47 @@ def signed_lines(docs: DataFrame, similarity: float, frequent: np.ndarray) -> Da
     return docs.mapInArrow(work, schema)
 
 
-def frequent_runs(docs: DataFrame, similarity: float) -> np.ndarray:
-    """Hashes of the most frequent runs of the lines of some documents, the most frequent one last."""
-    part = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, SAMPLE / max(1, docs.count()))))
-    k = run_length(similarity)
-
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_blocks(batches):
-            yield pa.record_batch([pa.array({x for text in texts for x in normal_lines(text)}, pa.binary())], names=["text"])
+def frequent_runs(docs: DataFrame, similarity: float) -> Frequencies:
+    """How frequent the runs are of all lines that may have a near one, in all documents.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A run falls on one of ``SLOTS`` slots, and a slot's runs are counted as one. A line counts once in
+    a block of documents.
+    """
+    k, shortest = run_length(similarity), shortest_line(similarity)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, left, n = np.zeros(SLOTS, np.int64), [], 0
+        for _, texts in itertools.chain(text_blocks(batches), [(None, None)]):
+            if texts is not None:
+                lines = {x for text in texts for x in normal_lines(text)}
+                left.append(_slot(Words([x for x in lines if x.count(b" ") + 1 >= shortest]).windows(k)[1]))
+                n += len(left[-1])
+            if n and (texts is None or n >= _RUNS):
+                counts += np.bincount(np.concatenate(left), minlength=SLOTS)
+                left, n = [], 0
+        rows = counts.reshape(-1, _SLOTS_A_ROW)
+        row = np.flatnonzero(rows.any(axis=1))
+        # As few bytes a count as the largest of a row needs.
+        sizes = [np.min_scalar_type(most).itemsize for most in rows[row].max(axis=1).tolist()]
+        listed = [x.astype(f"u{size}").tobytes() for x, size in zip(rows[row], sizes)]
+        names = ["row", "bytes", "counts"]
+        yield pa.record_batch([pa.array(row), pa.array(sizes, pa.int64()), pa.array(listed, pa.binary())], names=names)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            yield pa.record_batch([pa.array(Words(batch.column("text").to_pylist()).windows(k)[1].view(np.int64))], names=["run"])
-
-    distinct = docs.where(part).select("text").mapInArrow(lines, "text binary").distinct()
-    counts = distinct.mapInArrow(work, "run bigint").groupBy("run").count().where("count > 3")
-    found = counts.orderBy(F.desc("count"), "run").limit(FREQUENT).toArrow()
-    return found.column("run").to_numpy().view(np.uint64)[::-1].copy()
+            for row, size, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                found = np.frombuffer(counts, f"u{size}")
+                sums[row] = sums[row] + found if row in sums else found.astype(np.int64)
+        levels = [(_STEPS * np.log2(1 + x)).clip(max=255).astype(np.uint8).tobytes() for x in sums.values()]
+        yield pa.record_batch([pa.array(sums, pa.int64()), pa.array(levels, pa.binary())], names=["row", "levels"])
+
+    counts = docs.select("text").mapInArrow(count, "row bigint, bytes bigint, counts binary")
+    found = counts.repartition("row").mapInArrow(add, "row bigint, levels binary").toArrow()
+    levels = np.zeros((SLOTS // _SLOTS_A_ROW, _SLOTS_A_ROW), np.uint8)
+    for row, of_row in zip(*(column.to_pylist() for column in found.columns)):
+        levels[row] = np.frombuffer(of_row, np.uint8)
+    return Frequencies(levels.ravel())
 
 
 def may_be_near(similarity: float):

@@ -91,6 +91,30 @@ def test_runs_meet_for_every_near_pair():
         assert all(of[a] & of[b] for a, b in pairs)
 
 
+def test_runs_meet_in_any_order():
+    lines = [t.encode() for t in near_texts()]
+    split = [x.split() for x in lines]
+    pairs = [(a, b) for a, b in near_pairs(split) if split[a] != split[b]]
+    for most in (0, 3, 255):
+        levels = np.random.default_rng(most).integers(0, most, fuzzy_lines.SLOTS, np.uint8, endpoint=True)
+        owner, runs = fuzzy_lines.first_runs(lines, 0.9, fuzzy_lines.Frequencies(levels))
+        of = [set(runs[owner == i].tolist()) for i in range(len(lines))]
+        assert all(of[a] & of[b] for a, b in pairs)
+
+
+def test_runs_of_all_documents_are_counted(spark):
+    # 200 runs stand in five of 50,000 documents each. All other runs of their lines are rarer, and enough.
+    letters = str.maketrans("0123456789", "ghijklmnop")  # digits would become 0
+    words = [[f"s{i}x{m}" for m in range(4)] + [f"w{i}x{j}x{m}" for m in range(25)] for i in range(200) for j in range(5)]
+    lines = [" ".join(x).translate(letters) for x in words]
+    texts = ["a line" if i % 50 else lines[i // 50] for i in range(50_000)]
+    frequent = fuzzy_lines.frequent_runs(table(spark, texts), 0.9)
+    _, runs = fuzzy_lines.first_runs([x.encode() for x in lines], 0.9, frequent)
+    common = fuzzy_lines.Words([" ".join(x.split()[:4]).encode() for x in lines]).windows(4)[1]
+    assert len(set(common.tolist())) == 200 and len(runs) >= 4 * len(lines)
+    assert not np.isin(common, runs).any()
+
+
 def test_near_lines(spark):
     texts = near_texts()
     docs = list(enumerate("\n".join(texts[i : i + 3]) for i in range(0, len(texts), 3)))
